@@ -1,0 +1,5 @@
+"""Empty on purpose: every operator of this toolkit is a batch operator.
+
+Fitted pipelines are ordinary ``pyspark.ml`` models, so a streaming DataFrame can be
+scored with ``model.transform`` without anything from this package.
+"""
