@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..fixed_values import EXTRA_STOP_WORDS, TEXT_FEATURES
 from ..functions import register_text_udf, remove_characters, stop_words, tokens
 from ..operators import document_frequency, term_frequency, tf_idf
-from ..sources import load
+from ..sources import load, spread
 from .registry import query
 
 _BLANK = r"[ \t\n\x0B\f\r]"
@@ -36,7 +36,8 @@ def _stop_words_in_sql() -> str:
 
 
 def token_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "documents").select("doc_id", tokens("text").alias("tokens"))
+    documents = spread(load(spark, folder, "documents").select("doc_id", "text"))
+    return documents.select("doc_id", tokens("text").alias("tokens"))
 
 
 @query("clean_text", r"SELECT doc_id, regexp_replace(text, '[\?,.]', '', 'g') AS text FROM documents")
@@ -104,7 +105,7 @@ def count_terms(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("document_frequency", f"{_TERMS} SELECT term, df FROM freq")
 def count_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return document_frequency(term_frequency(token_rows(spark, folder), "doc_id"))
+    return document_frequency(token_rows(spark, folder))
 
 
 @query(

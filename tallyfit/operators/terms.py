@@ -15,11 +15,12 @@ def term_frequency(docs: DataFrame, key: str, tokens: str = "tokens") -> DataFra
     A row holds its whole text, so the count needs no shuffle: sort the tokens of the row,
     find where each run of equal tokens starts, and take the distance to the next start.
     """
-    ordered = docs.where(F.size(tokens) > 0).select(key, F.sort_array(tokens).alias("_sorted"))
-    starts = F.filter(
-        F.sequence(F.lit(1), F.size("_sorted")),
-        lambda i: (i == 1)
-        | (F.get("_sorted", i - 1) != F.get("_sorted", i - 2)),
+    ordered = docs.select(key, F.sort_array(tokens).alias("_sorted"))
+    starts = F.when(F.size("_sorted") == 0, F.array().cast("array<int>")).otherwise(
+        F.filter(
+            F.sequence(F.lit(1), F.size("_sorted")),
+            lambda i: (i == 1) | (F.get("_sorted", i - 1) != F.get("_sorted", i - 2)),
+        )
     )
     runs = ordered.select(key, "_sorted", starts.alias("_start"))
     ends = F.concat(F.slice("_start", 2, F.size("_start")), F.array(F.size("_sorted") + 1))
@@ -33,9 +34,10 @@ def term_frequency(docs: DataFrame, key: str, tokens: str = "tokens") -> DataFra
     return runs.select(key, F.inline(counted))
 
 
-def document_frequency(tf: DataFrame) -> DataFrame:
-    """``(term, df)``: in how many rows each term occurs."""
-    return tf.groupBy("term").agg(F.count("*").alias("df"))
+def document_frequency(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """``(term, df)``: in how many rows each term occurs. Only sums per task are shuffled."""
+    terms = docs.select(F.explode(F.array_distinct(tokens)).alias("term"))
+    return terms.groupBy("term").agg(F.count("*").alias("df"))
 
 
 def tf_idf(docs: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
@@ -45,7 +47,8 @@ def tf_idf(docs: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
     final join read those.
     """
     counts = write_once(term_frequency(docs, key, tokens), "term-counts")
-    frequencies = write_once(document_frequency(counts), "document-frequencies")
+    frequencies = counts.groupBy("term").agg(F.count("*").alias("df"))
+    frequencies = write_once(frequencies, "document-frequencies")
     weighed = attach_lookup(counts, frequencies, "term", "df", weight="df")
     idf = F.log((F.lit(docs.count()) + 1) / (F.col("df") + 1))
     return weighed.withColumn("idf", idf).withColumn("tf_idf", F.col("tf") * F.col("idf"))

@@ -2,9 +2,9 @@
 
 from .csv_files import read_csv, read_csv_strings, write_csv
 from .scratch import new_folder, scratch_folder, write_once
-from .tables import literal_table, load, text_set
+from .tables import literal_table, load, spread, text_set
 
 __all__ = [
     "literal_table", "load", "new_folder", "read_csv", "read_csv_strings",
-    "scratch_folder", "text_set", "write_csv", "write_once",
+    "scratch_folder", "spread", "text_set", "write_csv", "write_once",
 ]

@@ -20,9 +20,19 @@ def literal_table(
     return spark.createDataFrame(list(rows), schema)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a table with few input splits over all cores, before work that is heavy per row.
+
+    Files of one row group cannot be split by the scan. A table with at least two splits
+    per core, so any large one, is left alone and not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < 2 * cores else scan
+
+
 def text_set(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled texts ``(doc_id, text, label)``; ``doc_id`` is unique on both sides."""
-    documents = load(spark, folder, "documents").select("doc_id", "text")
+    documents = spread(load(spark, folder, "documents").select("doc_id", "text"))
     labels = load(spark, folder, "labels").select(
         "doc_id", F.col("toxic").cast("double").alias("label")
     )
