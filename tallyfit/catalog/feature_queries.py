@@ -22,7 +22,7 @@ from ..operators import (
     vector_positions,
 )
 from ..plans.vector_classification import project_components, with_vector
-from ..sources import load
+from ..sources import load, spread
 from .registry import query
 
 
@@ -159,6 +159,7 @@ _MEASURED = ["l_linenumber", "l_quantity", "l_discount", "l_tax"]
 )
 def vector_index(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = load(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", *_MEASURED)
+    lineitem = spread(lineitem)
     index = CategoryIndex(["l_returnflag", "l_linestatus"]).fit(lineitem)
     assembler = VectorAssembler(inputCols=_INDEXED + _MEASURED, outputCol="features")
     vectors = assembler.transform(index.transform(lineitem)).select("features")

@@ -15,7 +15,7 @@ from ..operators import (
     test_error,
     weighted_metrics,
 )
-from ..sources import load
+from ..sources import load, spread
 from .registry import query
 
 _RULE = """WITH p AS (SELECT l_returnflag AS label, CASE WHEN l_quantity < 15 THEN 'A'
@@ -100,7 +100,7 @@ def rule_error(spark: SparkSession, folder: str) -> DataFrame:
        FROM lineitem, line""",
 )
 def line_rmse(spark: SparkSession, folder: str) -> DataFrame:
-    rows = load(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
+    rows = spread(load(spark, folder, "lineitem").select("l_quantity", "l_extendedprice"))
     rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(rows)
     model = LinearRegression(labelCol="l_extendedprice").fit(rows)
     return rmse(model.transform(rows), "l_extendedprice").withColumn("rmse", F.round("rmse", 4))

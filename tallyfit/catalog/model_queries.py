@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import BALANCED_LOGISTIC, LINEAR_GRID, SPARSE_LOGISTIC
-from ..operators import CategoryIndex, confusion_matrix, split_by_key
+from ..operators import CategoryIndex, confusion_matrix, per_label_metrics, split_by_key
 from ..plans import (
     coefficients,
     fit_component_logistic,
@@ -24,7 +24,7 @@ from ..plans import (
     tuning_results,
 )
 from ..plans.vector_classification import with_vector
-from ..sources import load, text_set
+from ..sources import load, spread, text_set
 from .registry import query, sql_percent
 
 _TEXT = f"""WITH t AS (SELECT doc_id, toxic, {sql_percent('doc_id')} AS bucket
@@ -74,6 +74,25 @@ def text_holdout_confusion(spark: SparkSession, folder: str) -> DataFrame:
     return confusion_matrix(logreg_predict(spark, folder))
 
 
+@query(
+    "logreg_holdout_metrics",
+    f"""{_TEXT},
+        c AS (SELECT toxic::double AS label, count(*) AS rows, sum(count(*)) OVER () AS total
+              FROM t WHERE bucket >= 80 GROUP BY toxic)
+        SELECT label, rows, total::bigint AS total, CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END::double AS fpr,
+               CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END::double AS tpr,
+               CASE WHEN label = 0 THEN round(rows / total, 9) ELSE 0.0 END::double AS precision,
+               CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END::double AS recall,
+               CASE WHEN label = 0 THEN round(2 * rows / (rows + total), 9) ELSE 0.0 END::double
+                   AS f_measure FROM c""",
+)
+def logreg_holdout_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    metrics = per_label_metrics(logreg_predict(spark, folder))
+    return metrics.withColumns(
+        {m: F.round(m, 9) for m in ("fpr", "tpr", "precision", "recall", "f_measure")}
+    )
+
+
 @query("logreg_coefficients")
 def logreg_coefficients(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = text_parts(spark, folder)
@@ -109,7 +128,7 @@ def describe_forest(spark: SparkSession, folder: str) -> DataFrame:
        FROM lineitem""",
 )
 def linreg_simple(spark: SparkSession, folder: str) -> DataFrame:
-    rows = load(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
+    rows = spread(load(spark, folder, "lineitem").select("l_quantity", "l_extendedprice"))
     rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(rows)
     model = LinearRegression(labelCol="l_extendedprice").fit(rows)
     result = [(round(float(model.coefficients[0]), 4), round(model.intercept, 4),
@@ -167,7 +186,7 @@ def linreg_predict(spark: SparkSession, folder: str) -> DataFrame:
               round(CASE WHEN f THEN ym - k * xm ELSE 0 END, 2) AS intercept FROM w""",
 )
 def param_grid(spark: SparkSession, folder: str) -> DataFrame:
-    rows = load(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
+    rows = spread(load(spark, folder, "lineitem").select("l_quantity", "l_extendedprice"))
     rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(rows)
     regression = LinearRegression(labelCol="l_extendedprice", maxIter=10)
     builder = ParamGridBuilder()

@@ -31,6 +31,7 @@ from ..sources import (
     new_folder,
     read_csv,
     read_csv_strings,
+    spread,
     text_set,
     write_csv,
 )
@@ -45,7 +46,7 @@ from .registry import query, sql_percent
 )
 def csv_scan_infer(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "documents-csv")
-    write_csv(load(spark, folder, "documents"), path)
+    write_csv(spread(load(spark, folder, "documents")), path)
     scanned = read_csv(spark, path)
     return scanned.select(
         F.col("doc_id").cast("bigint"), "text", "lang", "source", F.col("n_chars").cast("bigint")
@@ -63,7 +64,7 @@ def csv_scan_infer(spark: SparkSession, folder: str) -> DataFrame:
 )
 def csv_scan_strings(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "lineitem-csv")
-    lineitem = load(spark, folder, "lineitem")
+    lineitem = spread(load(spark, folder, "lineitem"))
     write_csv(lineitem.withColumn("l_shipdate", F.col("l_shipdate").cast("date")), path)
     return read_csv_strings(spark, path, multi_line=False)
 

@@ -55,7 +55,8 @@ _REMOVE = str.maketrans("", "", "?,.")
 )
 def udf_clean_text(spark: SparkSession, folder: str) -> DataFrame:
     clean = register_text_udf(spark, "remove_marks", lambda text: text.translate(_REMOVE))
-    return load(spark, folder, "documents").select("doc_id", clean("text").alias("text"))
+    documents = spread(load(spark, folder, "documents").select("doc_id", "text"))
+    return documents.select("doc_id", clean("text").alias("text"))
 
 
 @query(

@@ -28,7 +28,7 @@ def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .groupBy("column", "value")
         .agg(F.count("*").alias("rows"))
     )
-    ranked = write_once(with_position(counts, ["column", F.desc("rows"), "value"]), "categories")
+    ranked = with_position(counts, ["column", F.desc("rows"), "value"])
     first = ranked.groupBy("column").agg(F.min("position").alias("_first"))
     return (
         ranked.join(F.broadcast(first), "column")  # one row per column of ``columns``

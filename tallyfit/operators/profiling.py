@@ -6,29 +6,45 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..fixed_values import MISSING
 
 
-def _count_per_column(df: DataFrame, condition, name: str) -> DataFrame:
-    """One row per column: how many rows meet ``condition(column)``. One pass for all."""
-    counts = df.agg(*[F.count_if(condition(F.col(c))).alias(c) for c in df.columns])
-    return counts.unpivot([], df.columns, "column", name)
+def _counts_as_rows(df: DataFrame, counts: dict[str, Column], name: str) -> DataFrame:
+    """One row per column from one aggregate over ``df``, so one pass for all columns."""
+    wide = df.agg(*[count.cast("bigint").alias(c) for c, count in counts.items()])
+    return wide.unpivot([], list(counts), "column", name)
+
+
+def _is_number(text: str) -> bool:
+    try:
+        float(text)
+    except ValueError:
+        return False
+    return True
 
 
 def missing_profile(df: DataFrame, missing: str = MISSING) -> DataFrame:
     """``(column, Total)``: rows per column that hold the text ``missing``.
 
     Columns are compared as strings, since a number column cannot be compared with text
-    in ANSI mode.
+    in ANSI mode. No number prints as a text like ``NA``, so number columns count 0 without
+    being read.
     """
-    return _count_per_column(df, lambda c: F.coalesce(c.cast("string") == missing, F.lit(False)),
-                             "Total")
+    skip_numbers = not _is_number(missing)
+    counts = {
+        f.name: F.lit(0)
+        if skip_numbers and isinstance(f.dataType, NumericType)
+        else F.count_if(F.col(f.name).cast("string") == missing)
+        for f in df.schema.fields
+    }
+    return _counts_as_rows(df, counts, "Total")
 
 
 def value_counts_per_column(df: DataFrame) -> DataFrame:
     """``(column, rows)``: rows per column that are not null."""
-    return _count_per_column(df, lambda c: c.isNotNull(), "rows")
+    return _counts_as_rows(df, {c: F.count(c) for c in df.columns}, "rows")
 
 
 def drop_columns_missing_in(

@@ -23,7 +23,8 @@ def term_frequency(docs: DataFrame, key: str, tokens: str = "tokens") -> DataFra
         )
     )
     runs = ordered.select(key, "_sorted", starts.alias("_start"))
-    ends = F.concat(F.slice("_start", 2, F.size("_start")), F.array(F.size("_sorted") + 1))
+    closed = F.concat("_start", F.array(F.size("_sorted") + 1))
+    ends = F.slice(closed, F.lit(2), F.size("_start"))
     counted = F.zip_with(
         "_start",
         ends,

@@ -13,22 +13,24 @@ from pyspark.sql.types import StructType
 
 QUOTING = {"header": True, "escape": '"'}
 
+# With the default null marker, the empty text, the reader takes a quoted empty text for
+# null. A marker that no text holds keeps "" and null apart; nothing at all is null still.
+NO_TEXT = "\u0000"
+
 
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
     schema: StructType | str | None = None,
     multi_line: bool = True,
-    null_value: str | None = None,
+    null_value: str = NO_TEXT,
 ) -> DataFrame:
     """Scan CSV files with a header.
 
     Without ``schema`` the types are inferred, which reads the files once more. The text
     ``NA`` stays a string unless ``null_value="NA"`` makes it null.
     """
-    reader = spark.read.options(**QUOTING, multiLine=multi_line)
-    if null_value is not None:
-        reader = reader.option("nullValue", null_value)
+    reader = spark.read.options(**QUOTING, multiLine=multi_line, nullValue=null_value)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
@@ -37,7 +39,7 @@ def read_csv_strings(
     spark: SparkSession, path: str | list[str], multi_line: bool = True
 ) -> DataFrame:
     """Scan CSV files with a header; every column is a string and no pass infers types."""
-    return spark.read.options(**QUOTING, multiLine=multi_line).csv(path)
+    return spark.read.options(**QUOTING, multiLine=multi_line, nullValue=NO_TEXT).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
