@@ -32,7 +32,7 @@ _TEXT = f"""WITH t AS (SELECT doc_id, toxic, {sql_percent('doc_id')} AS bucket
 
 
 def text_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return split_by_key(text_set(spark, folder), "doc_id", 80)
+    return split_by_key(text_set(spark, folder, heavy=True), "doc_id", 80)
 
 
 # With the sparse setting no weight leaves zero, so the intercept is the log odds of the
@@ -233,7 +233,8 @@ def house_price_predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("tune_cross_validation")
 def tune_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
-    return tuning_results(spark, tune_text_logistic(text_set(spark, folder), "doc_id"))
+    tuned = tune_text_logistic(text_set(spark, folder, heavy=True), "doc_id", parallelism=4)
+    return tuning_results(spark, tuned)
 
 
 @query("pca_logreg")

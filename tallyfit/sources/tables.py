@@ -30,9 +30,13 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < 2 * cores else scan
 
 
-def text_set(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled texts ``(doc_id, text, label)``; ``doc_id`` is unique on both sides."""
-    documents = spread(load(spark, folder, "documents").select("doc_id", "text"))
+def text_set(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:
+    """Labelled texts ``(doc_id, text, label)``; ``doc_id`` is unique on both sides.
+
+    ``heavy`` announces work on each text and spreads the documents for it.
+    """
+    documents = load(spark, folder, "documents").select("doc_id", "text")
+    documents = spread(documents) if heavy else documents
     labels = load(spark, folder, "labels").select(
         "doc_id", F.col("toxic").cast("double").alias("label")
     )

@@ -1,7 +1,9 @@
 """CSV, cleaning, profiles, keyed joins and splits."""
 
 import pytest
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tallyfit import limits
 from tallyfit.operators import (
@@ -46,6 +48,12 @@ def test_csv_round_trip_keeps_text(spark):
     assert strings.count() == len(TEXTS)
 
 
+def test_literal_table_with_a_vector_column(spark):
+    schema = StructType([StructField("pred", VectorUDT(), False), StructField("label", IntegerType())])
+    rows = [(Vectors.sparse(5, [1, 3], [1.0, 7.0]), 1), (Vectors.dense(2.0, 0.0, 3.0, 4.0, 5.0), 0)]
+    assert [tuple(r) for r in literal_table(spark, rows, schema).collect()] == rows
+
+
 def test_csv_sink_refuses_to_overwrite(spark):
     path = new_folder(spark, "test-csv")
     table = literal_table(spark, TEXTS, "id int, text string")
