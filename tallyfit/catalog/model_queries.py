@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import BALANCED_LOGISTIC, LINEAR_GRID, SPARSE_LOGISTIC
-from ..operators import CategoryIndex, confusion_matrix, per_label_metrics, split_by_key
+from ..operators import (
+    CategoryIndex,
+    confusion_matrix,
+    per_label_metrics,
+    split_by_key,
+    weighted_metrics,
+)
 from ..plans import (
     coefficients,
     fit_component_logistic,
@@ -93,6 +99,22 @@ def logreg_holdout_metrics(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "logreg_training_metrics",
+    f"""{_TEXT},
+        s AS (SELECT sum(1 - toxic) / count(*) AS share FROM t WHERE bucket < 80)
+        SELECT round(share, 9) AS accuracy, round(share, 9) AS fpr, round(share, 9) AS tpr,
+               round(2 * share * share / (1 + share), 9) AS f_measure,
+               round(share * share, 9) AS precision, round(share, 9) AS recall FROM s""",
+)
+def logreg_training_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics on the rows the model was fitted on, which say nothing about new text."""
+    train, _ = text_parts(spark, folder)
+    model = fit_text_logistic(train, settings=SPARSE_LOGISTIC)
+    metrics = weighted_metrics(model.transform(train).select("label", "prediction"))
+    return metrics.withColumns({m: F.round(m, 9) for m in metrics.columns})
+
+
 @query("logreg_coefficients")
 def logreg_coefficients(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = text_parts(spark, folder)

@@ -12,5 +12,8 @@ HOT_KEY_BYTES = 256
 # Distinct values of one column that a string indexer may collect on the driver.
 DRIVER_LABELS = 100_000
 
+# What the partial results of a fit may take on the driver at once.
+DRIVER_BYTES = 256 * 1024 * 1024
+
 # Width of a vector whose covariance matrix is built.
-COVARIANCE_WIDTH = 4096
+COVARIANCE_WIDTH = 1024

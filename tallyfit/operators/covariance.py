@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 
 from .. import limits
 
+TASKS_PER_CORE = 4
+
 
 def covariance_matrix(df: DataFrame, column: str) -> DataFrame:
     """``(i, j, covariance)``: the sample covariance of every pair of array positions.
 
     The first pass takes the means. In the second each task multiplies its centred rows
-    block by block and hands on one matrix, however many rows it read; the matrices are
-    added up by position.
+    block by block and hands on one half matrix, however many rows it read; these are added
+    up by position. A few tasks per core are enough, and keep the number of matrices down.
     """
     arrays = df.where(F.col(column).isNotNull()).select(F.col(column).cast("array<double>"))
     summary = Summarizer.metrics("mean", "count").summary(array_to_vector(column))
@@ -34,10 +36,12 @@ def covariance_matrix(df: DataFrame, column: str) -> DataFrame:
         for batch in batches:
             block = batch.column(0).flatten().to_numpy().reshape(-1, width) - mean
             total += block.T @ block
-        i, j = np.divmod(np.arange(width * width), width)
-        yield pa.RecordBatch.from_pydict({"i": i, "j": j, "product": total.ravel()})
-
-    parts = arrays.mapInArrow(products, "i bigint, j bigint, product double")
-    return parts.groupBy("i", "j").agg(
-        (F.sum("product") / (rows - 1)).alias("covariance")
-    )
+        i, j = np.triu_indices(width)
+        yield pa.RecordBatch.from_pydict({"i": i, "j": j, "product": total[i, j]})
+
+    tasks = TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
+    parts = arrays.coalesce(tasks).mapInArrow(products, "i bigint, j bigint, product double")
+    half = parts.groupBy("i", "j").agg((F.sum("product") / (rows - 1)).alias("covariance"))
+    below = F.when(F.col("i") < F.col("j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
+    places = F.array_compact(F.array(F.struct("i", "j"), below))
+    return half.select(F.inline(places), "covariance")

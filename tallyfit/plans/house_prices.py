@@ -30,6 +30,9 @@ from ..operators.cleaning import fill_numbers, keep_below
 from ..operators.encoding import CategoryIndex
 from ..operators.profiling import drop_columns_missing_in
 from ..sources.scratch import write_once
+from .fit_size import tree_depth
+
+NORMAL_EQUATION_WIDTH = 4096  # up to here a partial result holds a matrix, beyond it vectors
 
 
 @dataclass
@@ -95,7 +98,11 @@ def fit_house_prices(
     rows = vectors.transform(indexed).withColumnRenamed(target, "label")
     rows = write_once(rows.select("label", "features"), "house-vectors")
 
-    regression = LinearRegression(maxIter=LINEAR_MAX_ITER)
+    width = rows.first()["features"].size
+    partial = 4 * width * width if width <= NORMAL_EQUATION_WIDTH else 48 * width
+    regression = LinearRegression(
+        maxIter=LINEAR_MAX_ITER, aggregationDepth=tree_depth(rows, partial)
+    )
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder.addGrid(regression.getParam(name), values)

@@ -14,6 +14,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
     IDF,
     HashingTF,
+    IDFModel,
     IndexToString,
     SQLTransformer,
     StopWordsRemover,
@@ -38,9 +39,16 @@ from ..fixed_values import (
 from ..functions.text import stop_words
 from ..operators.splitting import fold_by_key
 from ..sources.scratch import write_once
+from .fit_size import merge_partitions, tree_depth
 
 FOREST_FEATURES = 1 << 12
 
+# Bytes per feature in one partial result: a count, the moments of a feature summary, and
+# the few distinct values that the vector indexer keeps.
+COUNT_BYTES = 8
+SUMMARY_BYTES = 48
+DISTINCT_BYTES = 160
+
 
 def _word_stages(text: str, clean: bool) -> list[Transformer]:
     """From text to ``words``; ``clean`` removes punctuation and stop words."""
@@ -68,6 +76,11 @@ def text_counts_stages(
     return [*_word_stages(text, clean), hashing]
 
 
+def _fit_idf(counts: DataFrame, num_features: int) -> IDFModel:
+    idf = IDF(inputCol="rawFeatures", outputCol="features")
+    return idf.fit(merge_partitions(counts, num_features * COUNT_BYTES))
+
+
 def _counted(train: DataFrame, stages: list[Transformer], label: str) -> DataFrame:
     counts = PipelineModel(stages).transform(train).select(label, "rawFeatures")
     return write_once(counts, "text-counts")
@@ -84,8 +97,10 @@ def fit_text_logistic(
     """TF-IDF and logistic regression. ``stages[-1]`` of the result is the regression."""
     stages = text_counts_stages(text, clean, num_features)
     counts = _counted(train, stages, label)
-    idf = IDF(inputCol="rawFeatures", outputCol="features").fit(counts)
-    logistic = LogisticRegression(labelCol=label, **settings).fit(idf.transform(counts))
+    idf = _fit_idf(counts, num_features)
+    depth = tree_depth(counts, num_features * SUMMARY_BYTES)
+    logistic = LogisticRegression(labelCol=label, **{"aggregationDepth": depth, **settings})
+    logistic = logistic.fit(idf.transform(counts))
     return PipelineModel([*stages, idf, logistic])
 
 
@@ -105,27 +120,27 @@ def fit_text_forest(
     """
     stages = text_counts_stages(text, clean, num_features)
     counts = _counted(train, stages, label)
-    idf = IDF(inputCol="rawFeatures", outputCol="features").fit(counts)
+    idf = _fit_idf(counts, num_features)
     vectors = write_once(idf.transform(counts).drop("rawFeatures"), "text-vectors")
     labels = StringIndexer(inputCol=label, outputCol="indexedLabel", handleInvalid="keep")
     labels = labels.fit(vectors)
-    forest = Pipeline(stages=[
-        VectorIndexer(
-            inputCol="features",
-            outputCol="indexedFeatures",
-            maxCategories=MAX_CATEGORIES,
-            handleInvalid="keep",
-        ),
-        RandomForestClassifier(
-            labelCol="indexedLabel", featuresCol="indexedFeatures", seed=seed
-        ),
-        IndexToString(
-            inputCol="prediction",
-            outputCol="predictedLabel",
-            labels=[*labels.labels, "__unknown"],
-        ),
-    ]).fit(labels.transform(vectors))
-    return PipelineModel([*stages, idf, labels, *forest.stages])
+    indexer = VectorIndexer(
+        inputCol="features",
+        outputCol="indexedFeatures",
+        maxCategories=MAX_CATEGORIES,
+        handleInvalid="keep",
+    )
+    # The vector indexer sends one result per partition to the driver, without a tree.
+    indexer = indexer.fit(merge_partitions(vectors, num_features * DISTINCT_BYTES, depth=1))
+    forest = RandomForestClassifier(
+        labelCol="indexedLabel", featuresCol="indexedFeatures", seed=seed
+    ).fit(indexer.transform(labels.transform(vectors)))
+    names = IndexToString(
+        inputCol="prediction",
+        outputCol="predictedLabel",
+        labels=[*labels.labels, "__unknown"],
+    )
+    return PipelineModel([*stages, idf, labels, indexer, forest, names])
 
 
 def tune_text_logistic(

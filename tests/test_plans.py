@@ -90,6 +90,25 @@ def test_forest_is_the_same_for_any_layout(questions):
     assert predict(questions) == predict(questions)
 
 
+def test_fits_with_many_partitions_stay_within_the_driver(spark, questions, monkeypatch):
+    from tallyfit import limits
+    from tallyfit.plans.fit_size import merge_partitions, tree_depth
+
+    table = spark.range(100).repartition(64)
+    assert tree_depth(table, 1) == 2
+    assert merge_partitions(table, 1).rdd.getNumPartitions() == 64
+    monkeypatch.setattr(limits, "DRIVER_BYTES", 4000)
+    assert tree_depth(table, 1000) == 3
+    assert merge_partitions(table, 1000).rdd.getNumPartitions() == 16
+    assert merge_partitions(table, 1000, depth=1).rdd.getNumPartitions() == 4
+    assert merge_partitions(table, 5000).rdd.getNumPartitions() == 1
+    small = fit_text_logistic(questions, num_features=1 << 8, settings=BALANCED_LOGISTIC)
+    monkeypatch.setattr(limits, "DRIVER_BYTES", 1 << 40)
+    large = fit_text_logistic(questions, num_features=1 << 8, settings=BALANCED_LOGISTIC)
+    assert np.allclose(small.stages[-1].coefficients.toArray(),
+                       large.stages[-1].coefficients.toArray())
+
+
 def test_cross_validation_tries_the_whole_grid(spark, questions):
     model = tune_text_logistic(questions, "id", num_features=[8, 64], reg_params=[0.1, 0.01])
     table = tuning_results(spark, model)
