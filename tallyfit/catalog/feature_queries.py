@@ -77,9 +77,8 @@ def index_categories(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def index_categories_table(spark: SparkSession, folder: str) -> DataFrame:
-    return category_index(
-        load(spark, folder, "lineitem"), ["l_orderkey", "l_partkey", "l_suppkey"]
-    )
+    keys = ["l_orderkey", "l_partkey", "l_suppkey"]
+    return category_index(spread(load(spark, folder, "lineitem").select(*keys)), keys)
 
 
 @query(
@@ -159,7 +158,6 @@ _MEASURED = ["l_linenumber", "l_quantity", "l_discount", "l_tax"]
 )
 def vector_index(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = load(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", *_MEASURED)
-    lineitem = spread(lineitem)
     index = CategoryIndex(["l_returnflag", "l_linestatus"]).fit(lineitem)
     assembler = VectorAssembler(inputCols=_INDEXED + _MEASURED, outputCol="features")
     vectors = assembler.transform(index.transform(lineitem)).select("features")
