@@ -8,7 +8,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..fixed_values import EXTRA_STOP_WORDS, REMOVED_CHARACTERS, WHITESPACE
+from ..fixed_values import BLANKS, EXTRA_STOP_WORDS, REMOVED_CHARACTERS, WHITESPACE
 
 
 def remove_characters(text: Column | str, pattern: str = REMOVED_CHARACTERS) -> Column:
@@ -22,9 +22,9 @@ def tokens(text: Column | str) -> Column:
     Agrees with ``pyspark.ml``'s Tokenizer: blanks at the start or in a row give empty
     tokens, blanks at the end give none, an empty text gives one empty token.
     """
-    lowered = F.lower(text)
-    trimmed = F.regexp_replace(lowered, WHITESPACE + "+$", "")
-    only_blanks = (trimmed == "") & (lowered != "")
+    text = F.col(text) if isinstance(text, str) else text
+    only_blanks = F.rlike(text, F.lit(f"^{WHITESPACE}+$"))
+    trimmed = F.rtrim(F.lower(text), F.lit(BLANKS))
     return F.when(only_blanks, F.array().cast("array<string>")).otherwise(
         F.split(trimmed, WHITESPACE)
     )
