@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import EXTRA_STOP_WORDS, TEXT_FEATURES
-from ..functions import register_text_udf, remove_characters, stop_words, tokens
+from ..functions import register_text_udf, remove_characters, stop_words, with_tokens
 from ..operators import document_frequency, term_frequency, tf_idf
 from ..sources import load, spread
 from .registry import query
@@ -37,7 +37,7 @@ def _stop_words_in_sql() -> str:
 
 def token_rows(spark: SparkSession, folder: str) -> DataFrame:
     documents = spread(load(spark, folder, "documents").select("doc_id", "text"))
-    return documents.select("doc_id", tokens("text").alias("tokens"))
+    return with_tokens(documents).select("doc_id", "tokens")
 
 
 @query("clean_text", r"SELECT doc_id, regexp_replace(text, '[\?,.]', '', 'g') AS text FROM documents")

@@ -7,10 +7,6 @@ EXTRA_STOP_WORDS = ["one ", "br", "Po", "th", "sayi", "fo", "unknown"]
 # Characters removed from text before tokenising.
 REMOVED_CHARACTERS = r"[\?,.]"
 
-# The whitespace characters, and a pattern for one, the token separator.
-BLANKS = " \t\n\x0b\f\r"
-WHITESPACE = r"[ \t\n\x0B\f\r]"
-
 # The literal that stands for a missing value.
 MISSING = "NA"
 

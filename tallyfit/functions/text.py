@@ -1,14 +1,14 @@
-"""Text expressions that Catalyst can see into."""
+"""Text expressions and words."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column
+from pyspark.ml.feature import StopWordsRemover, Tokenizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed_values import BLANKS, EXTRA_STOP_WORDS, REMOVED_CHARACTERS, WHITESPACE
+from ..fixed_values import EXTRA_STOP_WORDS, REMOVED_CHARACTERS
 
 
 def remove_characters(text: Column | str, pattern: str = REMOVED_CHARACTERS) -> Column:
@@ -16,18 +16,13 @@ def remove_characters(text: Column | str, pattern: str = REMOVED_CHARACTERS) ->
     return F.regexp_replace(text, pattern, "")
 
 
-def tokens(text: Column | str) -> Column:
-    """Lower-cased words between single whitespace characters.
+def with_tokens(df: DataFrame, text: str = "text", name: str = "tokens") -> DataFrame:
+    """Add the lower-cased words of ``text`` between single whitespace characters.
 
-    Agrees with ``pyspark.ml``'s Tokenizer: blanks at the start or in a row give empty
-    tokens, blanks at the end give none, an empty text gives one empty token.
+    Blanks at the start or in a row give empty tokens, blanks at the end give none. An empty
+    or missing text gives one empty token.
     """
-    text = F.col(text) if isinstance(text, str) else text
-    only_blanks = F.rlike(text, F.lit(f"^{WHITESPACE}+$"))
-    trimmed = F.rtrim(F.lower(text), F.lit(BLANKS))
-    return F.when(only_blanks, F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, WHITESPACE)
-    )
+    return Tokenizer(inputCol=text, outputCol=name).transform(df.na.fill("", [text]))
 
 
 def stop_words(extra: Sequence[str] = EXTRA_STOP_WORDS) -> list[str]:

@@ -4,11 +4,11 @@ from collections import Counter
 from math import log
 
 import pytest
-from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover
 from pyspark.sql import functions as F
 
 from tallyfit import limits
-from tallyfit.functions import register_text_udf, remove_characters, stop_words, tokens
+from tallyfit.functions import register_text_udf, remove_characters, stop_words, with_tokens
 from tallyfit.operators import document_frequency, term_frequency, tf_idf, vector_positions
 from tallyfit.sources import literal_table
 
@@ -21,10 +21,12 @@ def texts(spark):
     return literal_table(spark, list(enumerate(TEXTS)), "id int, text string")
 
 
-def test_tokens_agree_with_tokenizer(texts):
-    both = Tokenizer(inputCol="text", outputCol="ml").transform(texts)
-    for row in both.select("text", "ml", tokens("text").alias("sql")).collect():
-        assert row.sql == row.ml, repr(row.text)
+def test_tokens_of_blanks_and_missing_text(spark):
+    rows = [("", [""]), (None, [""]), ("   ", []), (" A  b\tC ", ["", "a", "", "b", "c"]),
+            ("x\n", ["x"]), ("\nx", ["", "x"]), ("tab\x0bfeed\fend", ["tab", "feed", "end"])]
+    df = literal_table(spark, rows, "text string, expected array<string>")
+    for row in with_tokens(df).collect():
+        assert row.tokens == row.expected
 
 
 def test_remove_characters(texts):
@@ -55,7 +57,7 @@ def _expected(rows):
 
 
 def test_term_frequency_against_counter(texts):
-    df = texts.select("id", tokens("text").alias("tokens"))
+    df = with_tokens(texts).select("id", "tokens")
     expected = _expected({r.id: r.tokens for r in df.collect()})
     rows = term_frequency(df, "id").collect()
     assert {(r.id, r.term): r.tf for r in rows} == {
@@ -68,7 +70,7 @@ def test_term_frequency_against_counter(texts):
 def test_tf_idf_against_brute_force(texts, monkeypatch, rows_bound, hot_keys):
     monkeypatch.setattr(limits, "BROADCAST_ROWS", rows_bound)
     monkeypatch.setattr(limits, "HOT_KEYS", hot_keys)
-    df = texts.select("id", tokens("text").alias("tokens"))
+    df = with_tokens(texts).select("id", "tokens")
     counts = _expected({r.id: r.tokens for r in df.collect()})
     frequencies = Counter(t for c in counts.values() for t in c)
     got = {(r.id, r.term): r.tf_idf for r in tf_idf(df, "id").collect()}
@@ -78,13 +80,13 @@ def test_tf_idf_against_brute_force(texts, monkeypatch, rows_bound, hot_keys):
 
 
 def test_term_counts_are_not_shuffled(texts):
-    df = texts.select("id", tokens("text").alias("tokens"))
+    df = with_tokens(texts).select("id", "tokens")
     assert "Exchange" not in term_frequency(df, "id")._jdf.queryExecution().toString()
 
 
 def test_hashed_weights_agree_with_exact_ones(texts):
     """With enough room there are no collisions: same multiset of weights per row."""
-    df = texts.select("id", tokens("text").alias("tokens"))
+    df = with_tokens(texts).select("id", "tokens")
     hashed = HashingTF(inputCol="tokens", outputCol="raw", numFeatures=1 << 18).transform(df)
     weighed = IDF(inputCol="raw", outputCol="v").fit(hashed).transform(hashed)
     left = Counter((r.id, round(r.value, 9)) for r in vector_positions(weighed, "id", "v").collect())
