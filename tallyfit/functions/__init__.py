@@ -1,8 +1,9 @@
 """Column expressions and user functions on text."""
 
-from .text import hash_percent, remove_characters, stop_words, with_tokens
+from .text import hash_number, hash_percent, remove_characters, stop_words, with_tokens
 from .user_functions import register_text_udf
 
 __all__ = [
-    "hash_percent", "register_text_udf", "remove_characters", "stop_words", "with_tokens",
+    "hash_number", "hash_percent", "register_text_udf", "remove_characters", "stop_words",
+    "with_tokens",
 ]

@@ -31,8 +31,14 @@ def stop_words(extra: Sequence[str] = EXTRA_STOP_WORDS) -> list[str]:
     return [word.strip() for word in extra] + StopWordsRemover.loadDefaultStopWords("english")
 
 
-def hash_percent(key: Column | str) -> Column:
-    """A number from 0 to 99 that depends on the key value alone."""
-    digits = F.substring(F.md5(F.col(key).cast("string") if isinstance(key, str)
-                               else key.cast("string")), 1, 8)
-    return F.conv(digits, 16, 10).cast("bigint") % 100
+def hash_number(key: Column | str, salt: str = "") -> Column:
+    """A 32-bit number that depends on ``salt`` and the key value alone; a missing key counts
+    as an empty one, so that its row is not lost."""
+    text = (F.col(key) if isinstance(key, str) else key).cast("string")
+    salted = F.concat(F.lit(salt), F.coalesce(text, F.lit("")))
+    return F.conv(F.substring(F.md5(salted), 1, 8), 16, 10).cast("bigint")
+
+
+def hash_percent(key: Column | str, salt: str = "") -> Column:
+    """A number from 0 to 99 that depends on ``salt`` and the key value alone."""
+    return hash_number(key, salt) % 100

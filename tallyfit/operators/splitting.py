@@ -3,27 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.text import hash_percent
+from ..functions.text import hash_number, hash_percent
 
 
-def split_by_key(df: DataFrame, key: str, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+def split_by_key(
+    df: DataFrame, key: str, percent: int = 80, salt: str = ""
+) -> tuple[DataFrame, DataFrame]:
     """About ``percent`` of the rows and the rest, decided by the key value alone.
 
     The parts are the same however the table is laid out, and after a lost task is rerun.
+    To split or sample a part once more, give the second step another ``salt``.
     """
-    return sample_by_key(df, key, percent), df.where(hash_percent(key) >= percent)
+    place = hash_percent(key, salt)
+    return df.where(place < percent), df.where(place >= percent)
 
 
-def sample_by_key(df: DataFrame, key: str, percent: int) -> DataFrame:
+def sample_by_key(df: DataFrame, key: str, percent: int, salt: str = "") -> DataFrame:
     """About ``percent`` of the rows, always the same ones."""
-    return df.where(hash_percent(key) < percent)
+    return df.where(hash_percent(key, salt) < percent)
 
 
-def fold_by_key(df: DataFrame, key: str, folds: int, name: str = "fold") -> DataFrame:
+def fold_by_key(
+    df: DataFrame, key: str, folds: int, name: str = "fold", salt: str = ""
+) -> DataFrame:
     """Add a fold number from 0 for cross-validation, decided by the key value alone."""
-    return df.withColumn(name, (hash_percent(key) % folds).cast("int"))
+    return df.withColumn(name, (hash_number(key, salt) % folds).cast("int"))
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFrame]:

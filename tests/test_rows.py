@@ -181,6 +181,19 @@ def test_split_by_key_ignores_layout(spark):
     assert {r.id for r in sample_by_key(df, "id", 25).collect()} <= many
 
 
+def test_rows_without_a_key_are_not_lost(spark):
+    df = literal_table(spark, [(None,), (1,), (2,)], "id int")
+    train, rest = split_by_key(df, "id", 50)
+    assert train.count() + rest.count() == 3
+    assert fold_by_key(df, "id", 2).where("fold is null").count() == 0
+
+
+def test_another_salt_cuts_a_part_independently(spark):
+    train, _ = split_by_key(spark.range(4000), "id", 50)
+    again = sample_by_key(train, "id", 50, salt="second").count() / train.count()
+    assert sample_by_key(train, "id", 50).count() == train.count() and 0.4 < again < 0.6
+
+
 def test_folds_cover_all_rows(spark):
     sizes = dict(fold_by_key(spark.range(2000), "id", 2).groupBy("fold").count().collect())
     assert set(sizes) == {0, 1} and sum(sizes.values()) == 2000 and min(sizes.values()) > 800
