@@ -13,6 +13,7 @@ from ..operators import (
     CategoryIndex,
     confusion_matrix,
     per_label_metrics,
+    sample_by_key,
     split_by_key,
     weighted_metrics,
 )
@@ -30,7 +31,7 @@ from ..plans import (
     tuning_results,
 )
 from ..plans.vector_classification import with_vector
-from ..sources import load, text_set
+from ..sources import load, spread, text_set
 from .registry import query, sql_percent
 
 _TEXT = f"""WITH t AS (SELECT doc_id, toxic, {sql_percent('doc_id')} AS bucket
@@ -71,6 +72,23 @@ def logreg_predict(spark: SparkSession, folder: str) -> DataFrame:
     return model.transform(rest).select("doc_id", "label", "prediction")
 
 
+@query(
+    "logreg_sampled_predict",
+    f"""{_TEXT} SELECT d.doc_id, (SELECT (2 * sum(toxic) > count(*))::int::double
+                                  FROM t WHERE bucket < 25) AS prediction
+                FROM documents d ANTI JOIN labels l ON d.doc_id = l.doc_id""",
+)
+def logreg_sampled_predict(spark: SparkSession, folder: str) -> DataFrame:
+    """Learn from a quarter of the labelled texts, as they are, and predict for the others."""
+    labelled = text_set(spark, folder, heavy=True)
+    sample = sample_by_key(labelled, "doc_id", 25)
+    model = fit_text_logistic(sample, clean=False, settings=SPARSE_LOGISTIC)
+    documents = spread(load(spark, folder, "documents").select("doc_id", "text"))
+    labels = load(spark, folder, "labels").select("doc_id")
+    others = documents.join(labels, "doc_id", "left_anti")
+    return model.transform(others).select("doc_id", "prediction")
+
+
 @query(
     "text_holdout_confusion",
     f"""{_TEXT} SELECT toxic::double AS label, 0.0::double AS prediction, count(*) AS rows

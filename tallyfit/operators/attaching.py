@@ -11,10 +11,12 @@ from .. import limits
 from ..sources.scratch import write_once
 
 
-def attach_features(df: DataFrame, features: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def attach_features(
+    df: DataFrame, features: DataFrame, key: str | Sequence[str], how: str = "inner"
+) -> DataFrame:
     """Put the columns of ``features`` beside the row with the same ``key``.
 
-    ``key`` must be unique in ``features``. A join without a key would pair every row with
+    ``key`` must be unique in ``features``. ``how="left"`` keeps rows without features. A join without a key would pair every row with
     every other one and is refused, as are columns that both sides have.
     """
     keys = [key] if isinstance(key, str) else list(key)
@@ -23,7 +25,7 @@ def attach_features(df: DataFrame, features: DataFrame, key: str | Sequence[str]
     shared = set(df.columns) & set(features.columns) - set(keys)
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
-    return df.join(features, keys)
+    return df.join(features, keys, how)
 
 
 def attach_lookup(
