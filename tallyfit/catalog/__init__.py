@@ -1,6 +1,12 @@
 """All registered queries with the SQL that gives the same rows."""
 
-from . import feature_queries, metric_queries, model_queries, row_queries, text_queries  # noqa: F401
+from . import (  # noqa: F401
+    feature_queries,
+    metric_queries,
+    model_queries,
+    row_queries,
+    text_queries,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

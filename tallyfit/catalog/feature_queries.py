@@ -84,7 +84,8 @@ def index_categories_table(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "index_label",
     f"""WITH p AS {sql_index('orders', 'o_orderpriority')}
-        SELECT o_orderkey, p.i::double AS "indexedLabel" FROM orders JOIN p USING (o_orderpriority)""",
+        SELECT o_orderkey, p.i::double AS "indexedLabel"
+        FROM orders JOIN p USING (o_orderpriority)""",
 )
 def index_label(spark: SparkSession, folder: str) -> DataFrame:
     orders = load(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
@@ -114,7 +115,8 @@ def index_to_label(spark: SparkSession, folder: str) -> DataFrame:
         SELECT p_partkey, 'p_brandVec' AS "column", CASE WHEN bi < bk - 1 THEN bi END AS position,
                bk - 1 AS size FROM e
         UNION ALL SELECT p_partkey, 'p_typeVec', CASE WHEN ti < tk - 1 THEN ti END, tk - 1 FROM e
-        UNION ALL SELECT p_partkey, 'p_sizeVec', CASE WHEN si < sk - 1 THEN si END, sk - 1 FROM e""",
+        UNION ALL SELECT p_partkey, 'p_sizeVec', CASE WHEN si < sk - 1 THEN si END, sk - 1
+        FROM e""",
 )
 def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     vectors = [c + "Vec" for c in PART_CATEGORIES]
@@ -132,7 +134,8 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
         SELECT p_partkey, bi AS position, 1.0::double AS value FROM e WHERE bi < bk - 1
         UNION ALL SELECT p_partkey, bk - 1 + ti, 1.0 FROM e WHERE ti < tk - 1
         UNION ALL SELECT p_partkey, bk + tk - 2 + si, 1.0 FROM e WHERE si < sk - 1
-        UNION ALL SELECT p_partkey, bk + tk + sk - 3, p_retailprice FROM e WHERE p_retailprice <> 0""",
+        UNION ALL SELECT p_partkey, bk + tk + sk - 3, p_retailprice
+        FROM e WHERE p_retailprice <> 0""",
 )
 def assemble_features(spark: SparkSession, folder: str) -> DataFrame:
     assembler = VectorAssembler(

@@ -103,7 +103,8 @@ def text_holdout_confusion(spark: SparkSession, folder: str) -> DataFrame:
     f"""{_TEXT},
         c AS (SELECT toxic::double AS label, count(*) AS rows, sum(count(*)) OVER () AS total
               FROM t WHERE bucket >= 80 GROUP BY toxic)
-        SELECT label, rows, total::bigint AS total, CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END::double AS fpr,
+        SELECT label, rows, total::bigint AS total,
+               CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END::double AS fpr,
                CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END::double AS tpr,
                CASE WHEN label = 0 THEN round(rows / total, 9) ELSE 0.0 END::double AS precision,
                CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END::double AS recall,

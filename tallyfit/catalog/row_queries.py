@@ -349,7 +349,8 @@ def random_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "hash_split",
-    f"""SELECT doc_id, CASE WHEN {sql_percent('doc_id')} < 80 THEN 'train' ELSE 'holdout' END AS part
+    f"""SELECT doc_id,
+               CASE WHEN {sql_percent('doc_id')} < 80 THEN 'train' ELSE 'holdout' END AS part
         FROM documents""",
 )
 def hash_parts(spark: SparkSession, folder: str) -> DataFrame:

@@ -40,7 +40,10 @@ def token_rows(spark: SparkSession, folder: str) -> DataFrame:
     return with_tokens(documents).select("doc_id", "tokens")
 
 
-@query("clean_text", r"SELECT doc_id, regexp_replace(text, '[\?,.]', '', 'g') AS text FROM documents")
+@query(
+    "clean_text",
+    r"SELECT doc_id, regexp_replace(text, '[\?,.]', '', 'g') AS text FROM documents",
+)
 def clean_text(spark: SparkSession, folder: str) -> DataFrame:
     documents = load(spark, folder, "documents")
     return documents.select("doc_id", remove_characters("text").alias("text"))

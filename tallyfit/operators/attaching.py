@@ -16,8 +16,9 @@ def attach_features(
 ) -> DataFrame:
     """Put the columns of ``features`` beside the row with the same ``key``.
 
-    ``key`` must be unique in ``features``. ``how="left"`` keeps rows without features. A join without a key would pair every row with
-    every other one and is refused, as are columns that both sides have.
+    ``key`` must be unique in ``features``; ``how="left"`` keeps rows without features. A join
+    without a key would pair every row with every other one and is refused, as are columns
+    that both sides have.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if not keys:

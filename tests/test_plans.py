@@ -58,7 +58,8 @@ def test_coefficients_give_back_the_margin(spark, questions):
 
 def test_training_text_and_new_text_pass_the_same_stages(spark, questions):
     model = fit_text_logistic(questions, num_features=1 << 10)
-    new = literal_table(spark, [(1, "THE lovely, word1?"), (2, "lovely word1")], "id int, text string")
+    rows = [(1, "THE lovely, word1?"), (2, "lovely word1")]
+    new = literal_table(spark, rows, "id int, text string")
     a, b = [r.features for r in model.transform(new).orderBy("id").collect()]
     assert a == b
 
@@ -141,7 +142,8 @@ def test_house_prices_from_csv_to_csv(spark):
     test = spark.createDataFrame([_house(i, False) for i in range(200, 260)])
     write_csv(train, folder + "/train")
     write_csv(test, folder + "/test")
-    train, test = house_columns(read_csv(spark, folder + "/train"), read_csv(spark, folder + "/test"))
+    train, test = read_csv(spark, folder + "/train"), read_csv(spark, folder + "/test")
+    train, test = house_columns(train, test)
     assert train.where("Id = 7").count() == 0 and train.count() == 199
     assert {"Alley", "Electrical"}.isdisjoint(train.columns) and "Alley" not in test.columns
     assert "MasVnrType" in train.columns  # missing in the training rows only
@@ -180,7 +182,8 @@ def test_components_against_numpy(spark):
 
 
 def test_component_regression_has_three_features(spark):
-    vectors = with_vector(spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet"), "embedding")
+    table = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    vectors = with_vector(table, "embedding")
     model = fit_component_logistic(vectors)
     assert model.stages[-1].numFeatures == 3
     assert model.transform(vectors).select("prediction").distinct().count() >= 1

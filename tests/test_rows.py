@@ -49,8 +49,9 @@ def test_csv_round_trip_keeps_text(spark):
 
 
 def test_literal_table_with_a_vector_column(spark):
-    schema = StructType([StructField("pred", VectorUDT(), False), StructField("label", IntegerType())])
-    rows = [(Vectors.sparse(5, [1, 3], [1.0, 7.0]), 1), (Vectors.dense(2.0, 0.0, 3.0, 4.0, 5.0), 0)]
+    fields = [StructField("pred", VectorUDT(), False), StructField("label", IntegerType())]
+    schema = StructType(fields)
+    rows = [(Vectors.sparse(5, [1, 3], [1.0, 7.0]), 1), (Vectors.dense(2.0, 0.0, 3.0), 0)]
     assert [tuple(r) for r in literal_table(spark, rows, schema).collect()] == rows
 
 

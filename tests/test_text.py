@@ -89,6 +89,7 @@ def test_hashed_weights_agree_with_exact_ones(texts):
     df = with_tokens(texts).select("id", "tokens")
     hashed = HashingTF(inputCol="tokens", outputCol="raw", numFeatures=1 << 18).transform(df)
     weighed = IDF(inputCol="raw", outputCol="v").fit(hashed).transform(hashed)
-    left = Counter((r.id, round(r.value, 9)) for r in vector_positions(weighed, "id", "v").collect())
+    entries = vector_positions(weighed, "id", "v").collect()
+    left = Counter((r.id, round(r.value, 9)) for r in entries)
     right = Counter((r.id, round(r.tf_idf, 9)) for r in tf_idf(df, "id").collect() if r.tf_idf)
     assert left == right
