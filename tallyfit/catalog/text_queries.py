@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-from glob import glob
-from os.path import dirname, join
-from zipfile import ZipFile
-
-import pyspark
 from pyspark.ml.feature import HashingTF, StopWordsRemover
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixed_values import EXTRA_STOP_WORDS, TEXT_FEATURES
+from ..fixed_values import REMOVED_CHARACTERS, TEXT_FEATURES
 from ..functions import register_text_udf, remove_characters, stop_words, with_tokens
 from ..operators import document_frequency, term_frequency, tf_idf
 from ..sources import load, spread
@@ -27,11 +22,7 @@ _TERMS = f"""WITH words AS (SELECT doc_id, unnest({_TOKENS}) AS term FROM docume
 
 
 def _stop_words_in_sql() -> str:
-    """The same words as ``stop_words()``, read from Spark's jar as no session may run yet."""
-    jar = glob(join(dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
-    with ZipFile(jar) as archive:
-        text = archive.read("org/apache/spark/ml/feature/stopwords/english.txt").decode()
-    words = [w.strip().lower() for w in [*EXTRA_STOP_WORDS, *text.splitlines()]]
+    words = [word.lower() for word in stop_words()]
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
 
@@ -42,7 +33,7 @@ def token_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "clean_text",
-    r"SELECT doc_id, regexp_replace(text, '[\?,.]', '', 'g') AS text FROM documents",
+    f"SELECT doc_id, regexp_replace(text, '{REMOVED_CHARACTERS}', '', 'g') AS text FROM documents",
 )
 def clean_text(spark: SparkSession, folder: str) -> DataFrame:
     documents = load(spark, folder, "documents")
@@ -54,7 +45,7 @@ _REMOVE = str.maketrans("", "", "?,.")
 
 @query(
     "udf_clean_text",
-    r"SELECT doc_id, regexp_replace(text, '[\?,.]', '', 'g') AS text FROM documents",
+    f"SELECT doc_id, regexp_replace(text, '{REMOVED_CHARACTERS}', '', 'g') AS text FROM documents",
 )
 def udf_clean_text(spark: SparkSession, folder: str) -> DataFrame:
     clean = register_text_udf(spark, "remove_marks", lambda text: text.translate(_REMOVE))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StopWordsRemover, Tokenizer
+from pyspark.ml.feature import Tokenizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed_values import EXTRA_STOP_WORDS, REMOVED_CHARACTERS
+from ..fixed_values import ENGLISH_STOP_WORDS, EXTRA_STOP_WORDS, REMOVED_CHARACTERS
 
 
 def remove_characters(text: Column | str, pattern: str = REMOVED_CHARACTERS) -> Column:
@@ -28,7 +28,7 @@ def with_tokens(df: DataFrame, text: str = "text", name: str = "tokens") -> Data
 def stop_words(extra: Sequence[str] = EXTRA_STOP_WORDS) -> list[str]:
     """``extra`` words, then the default English list; entries are trimmed, else one with
     a blank around it could never match a token."""
-    return [word.strip() for word in extra] + StopWordsRemover.loadDefaultStopWords("english")
+    return [word.strip() for word in extra] + ENGLISH_STOP_WORDS
 
 
 def hash_number(key: Column | str, salt: str = "") -> Column:

@@ -93,3 +93,29 @@ def test_hashed_weights_agree_with_exact_ones(texts):
     left = Counter((r.id, round(r.value, 9)) for r in entries)
     right = Counter((r.id, round(r.tf_idf, 9)) for r in tf_idf(df, "id").collect() if r.tf_idf)
     assert left == right
+
+
+def test_stop_words_are_the_default_list(spark):
+    from pyspark.ml.feature import StopWordsRemover
+
+    from tallyfit.fixed_values import ENGLISH_STOP_WORDS
+
+    assert ENGLISH_STOP_WORDS == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_import_reads_no_jar_and_starts_no_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = (
+        "import builtins, glob, zipfile\n"
+        "def refuse(*a, **k): raise OSError('no files at import')\n"
+        "zipfile.ZipFile = refuse; glob.glob = refuse\n"
+        "import __spark_entry__ as e\n"
+        "assert len(e.queries()) >= 64 and len(e.oracle_sql()) >= 54\n"
+        "from pyspark.sql import SparkSession\n"
+        "assert SparkSession.getActiveSession() is None\n"
+    )
+    root = Path(__file__).parent.parent
+    subprocess.run([sys.executable, "-c", script], cwd=root, check=True, timeout=120)
