@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import load
+from ..sources.scratch import write_once
+from .resharding import OLD_SHARDS, reshard
 from .simhash_links import simhash_components
+from .source_mixing import mix_sources
+from .texts import whole
 from .vector_links import cosine_links
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +43,29 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_components(load(spark, folder, "documents"))
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query("op1_min_cost_reshard")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    text = whole("text")
+    rows = load(spark, folder, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.pmod(F.xxhash64("text"), F.lit(OLD_SHARDS)).cast("int").alias("old_shard"),
+    )
+    found = reshard(write_once(rows, "sizes"), "doc_id", "size", "old_shard", text="text_crc32")
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "old_shard",
+    )
+
+
+@query("op8_hypergeometric_mix")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix_sources(load(spark, folder, "documents"))
+    taken = F.size("draws") * F.col("size")
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"),
+        F.col("draws.shard").alias("shards"),
+    )

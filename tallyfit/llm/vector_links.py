@@ -19,81 +19,92 @@ from ..sources.scratch import write_once
 from .graphs import components, smallest_labels
 
 SIMILARITY = 0.93
-RECALL = 0.998  # share of pairs exactly at the threshold that pass a filter together
-CODE_WORDS = 256  # of each half, at most
-TRIALS = 4000  # simulated pairs that the filter threshold is set by
+RECALL = 0.99  # share of pairs exactly at the threshold that pass a filter together
+CODES = 8
+CODE_WORDS = 128  # for each half of a code, at most
+TRIALS = 2000  # simulated pairs that the filter threshold is set by
 BLOCK = 256  # vectors that one side of a comparison holds at most
 SEED = 20
 
 
+def _unit(rows: np.ndarray) -> np.ndarray:
+    length = np.linalg.norm(rows, axis=1, keepdims=True)
+    return rows / np.where(length > 0, length, 1)
+
+
+class ProductCode:
+    """Directions that are sums of a random word for each half of a randomly turned space."""
+
+    def __init__(self, size: int, words: int, seed: list[int]):
+        random = np.random.default_rng(seed)
+        self.turn = np.linalg.qr(random.standard_normal((size, size)))[0]
+        self.split = (size + 1) // 2
+        halves = [self.split, size - self.split]
+        self.words = [_unit(random.standard_normal((words, width))) for width in halves]
+        self.count = words * words
+
+    def lists(self, unit: np.ndarray) -> list[np.ndarray]:
+        """Per half, the inner products with its words."""
+        turned = unit @ self.turn
+        halves = [turned[:, :self.split], turned[:, self.split:]]
+        return [half @ words.T for half, words in zip(halves, self.words)]
+
+    def best_shared(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The highest threshold at which each pair of rows shares a direction."""
+        sums = [one[:, :, None] + two[:, None, :] for one, two in map(self.lists, (x, y))]
+        return np.minimum(*sums).reshape(len(x), -1).max(1)
+
+    def decode(self, unit: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """``(row, direction)`` wherever an inner product reaches the threshold. A word of the
+        first half is dropped for all rows that its best partner cannot lift that far."""
+        first, second = self.lists(unit)
+        need = threshold - second.max(1)
+        rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for word in range(first.shape[1]):
+            able = np.flatnonzero(first[:, word] >= need)
+            r, w = np.nonzero(first[able, word, None] + second[able] >= threshold)
+            rows.append(able[r])
+            found.append(word * second.shape[1] + w)
+        return np.concatenate(rows), np.concatenate(found)
+
+
 class CapFilters:
     """Filters for vectors of one length, fixed by a seed; nothing is learned from data.
 
     The threshold is the highest one at which ``recall`` of random pairs exactly ``similarity``
-    apart share a filter, found by simulation; closer pairs share one more often.
+    apart share a filter, found by simulation; closer pairs share one more often. Several codes
+    with turns of their own even out the number of filters that a vector passes.
     """
 
     def __init__(self, size: int, words: int, similarity: float, recall: float, seed: int):
-        random = np.random.default_rng([seed, size, words])
-        self.rotation = np.linalg.qr(random.standard_normal((size, size)))[0]
-        self.split = (size + 1) // 2
-        parts = [self.split, size - self.split] if size > 1 else [1]
-        self.code = [self._words(random, words, width) for width in parts]
-        x = self._unit(random.standard_normal((TRIALS, size)))
-        z = random.standard_normal((TRIALS, size))
-        z = self._unit(z - (z * x).sum(1, keepdims=True) * x) if size > 1 else x
+        self.codes = [ProductCode(size, words, [seed, size, words, n]) for n in range(CODES)]
+        random = np.random.default_rng([seed, size])
+        x, z = _unit(random.standard_normal((TRIALS, size))), random.standard_normal(
+            (TRIALS, size))
+        z = _unit(z - (z * x).sum(1, keepdims=True) * x) if size > 1 else x
         y = similarity * x + np.sqrt(max(0.0, 1 - similarity**2)) * z
-        best = np.concatenate([
-            self._best_shared(x[at:at + 50], y[at:at + 50]) for at in range(0, TRIALS, 50)
-        ])
-        self.threshold = float(np.quantile(best, 1 - recall))
-
-    @staticmethod
-    def _unit(rows: np.ndarray) -> np.ndarray:
-        length = np.linalg.norm(rows, axis=1, keepdims=True)
-        return rows / np.where(length > 0, length, 1)
-
-    def _words(self, random: np.random.Generator, words: int, width: int) -> np.ndarray:
-        return self._unit(random.standard_normal((words, width)))
-
-    def _lists(self, unit: np.ndarray) -> list[np.ndarray]:
-        turned = unit @ self.rotation
-        halves = [turned[:, :self.split], turned[:, self.split:]]
-        return [half @ code.T for half, code in zip(halves, self.code)]
-
-    def _best_shared(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        a, b = self._lists(x), self._lists(y)
-        if len(self.code) == 1:
-            return np.minimum(a[0], b[0]).max(1)
-        sums = [one[:, :, None] + two[:, None, :] for one, two in (a, b)]
-        return np.minimum(*sums).reshape(len(x), -1).max(1)
+        best = [np.max([code.best_shared(x[at:at + 50], y[at:at + 50]) for code in self.codes],
+                       axis=0) for at in range(0, TRIALS, 50)]
+        self.threshold = float(np.quantile(np.concatenate(best), 1 - recall))
 
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(row, filter)`` for every filter that each unit vector passes."""
-        lists = self._lists(unit)
-        if len(lists) == 1:
-            return np.nonzero(lists[0] >= self.threshold)
-        first, second = lists
-        need = self.threshold - second.max(1)
-        rows, filters = [], []
-        for word in range(first.shape[1]):
-            able = np.flatnonzero(first[:, word] >= need)
-            if len(able):
-                r, w = np.nonzero(first[able, word, None] + second[able] >= self.threshold)
-                rows.append(able[r])
-                filters.append(word * second.shape[1] + w)
-        if not rows:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(rows), np.concatenate(filters)
+        lists = [code.decode(unit, self.threshold) for code in self.codes]
+        rows = np.concatenate([row for row, _ in lists])
+        return rows, np.concatenate(
+            [found + n * code.count for n, (code, (_, found)) in enumerate(zip(self.codes, lists))]
+        )
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.array([np.asarray(v, np.float64) for v in vectors])
+    """Rows in the type of the column, which loses nothing."""
+    return np.array([np.asarray(v) for v in vectors])
 
 
 def _scaled(rows: np.ndarray) -> np.ndarray:
     """Rows of length one; scaled by their largest component first, so nothing overflows."""
-    return CapFilters._unit(rows / np.abs(rows).max(1, keepdims=True))
+    rows = rows.astype(np.float64)
+    return _unit(rows / np.abs(rows).max(1, keepdims=True))
 
 
 def _decode(filters: dict[int, CapFilters]):
@@ -176,7 +187,7 @@ def _share_smaller(x: tuple, y: tuple, i: np.ndarray, j: np.ndarray, below: int)
     return (tables[0] @ tables[1].T)[at_x, at_y] > 0
 
 
-def _compare(similarity: float):
+def _compare(similarity: float, kind: str):
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             nodes, links, parents = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
@@ -184,9 +195,9 @@ def _compare(similarity: float):
             for row in batch.itertuples(index=False):
                 same = row.first == row.other_first
                 a = np.frombuffer(row.nodes, np.int64)
-                x = np.frombuffer(row.vectors, np.float64).reshape(len(a), -1)
+                x = np.frombuffer(row.vectors, kind).reshape(len(a), -1)
                 b = a if same else np.frombuffer(row.other_nodes, np.int64)
-                y = x if same else np.frombuffer(row.other_vectors, np.float64).reshape(
+                y = x if same else np.frombuffer(row.other_vectors, kind).reshape(
                     len(b), -1)
                 near = _scaled(x) @ _scaled(y).T >= similarity
                 i, j = np.nonzero(np.triu(near, 1) if same else near)
@@ -235,11 +246,14 @@ def cosine_links(
     columns of ``df`` are not read; an empty table gives an empty result.
 
     No link is false. Every pair that shares a filter is found, counted in the smallest filter
-    it shares. The number of filters follows the largest label, up to ``code_words`` squared.
+    it shares. The number of filters follows the largest label, up to ``CODES`` times
+    ``code_words`` squared.
     """
     rows = df.select(
         F.col(key).alias("_key"), F.col(label).alias("label"), F.col(vector).alias("vector")
     )
+    if dict(rows.dtypes)["vector"] != "array<float>":
+        rows = rows.withColumn("vector", F.col("vector").cast("array<double>"))
     good = F.col("label").isNotNull() & F.col("vector").isNotNull() & ~F.exists(
         "vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     ) & F.exists("vector", lambda x: x != 0)
@@ -250,9 +264,10 @@ def cosine_links(
     classes = write_once(grouped.withColumn("node", F.monotonically_increasing_id()), "vectors")
     sizes = [r[0] for r in classes.select(F.size("vector")).distinct().collect()]
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
-    words = int(np.clip(np.ceil(np.sqrt(largest / 4)), 4, code_words))
+    words = int(np.clip(np.ceil(np.sqrt(largest / (4 * CODES))), 4, code_words))
     filters = {n: CapFilters(n, words, similarity, recall, SEED) for n in sizes}
     kind = dict(classes.dtypes)["label"]
+    number = "f4" if dict(classes.dtypes)["vector"] == "array<float>" else "f8"
     decoded = write_once(
         classes.select("node", "label", "copies", "vector").mapInPandas(
             _decode(filters),
@@ -275,7 +290,7 @@ def cosine_links(
     pairs = blocks.join(others, ["label", "size", "filter"]).where("first <= other_first")
     found = write_once(
         pairs.drop("label", "size").mapInPandas(
-            _compare(similarity), "node long, links long, parent long"
+            _compare(similarity, number), "node long, links long, parent long"
         ),
         "links",
     )
