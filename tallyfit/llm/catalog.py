@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +15,11 @@ from .resharding import OLD_SHARDS, reshard
 from .simhash_links import simhash_components
 from .source_mixing import mix_sources
 from .texts import whole
+from .token_counts import count_tokens
 from .vector_links import cosine_links
 
+TOKENIZER = "byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -69,3 +74,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"),
         F.col("draws.shard").alias("shards"),
     )
+
+
+@query("op6_rank_synchronous_tokens")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    content = Path(public_tokenizers.path(TOKENIZER)).read_text(encoding="utf-8")
+    return count_tokens(load(spark, folder, "documents"), content)
