@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..sources import load
 from ..sources.scratch import write_once
+from .page_text import extract_main_text
+from .quality_model import fit_quality, score_quality
 from .resharding import OLD_SHARDS, reshard
 from .simhash_links import simhash_components
 from .source_mixing import mix_sources
@@ -80,3 +82,15 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     content = Path(public_tokenizers.path(TOKENIZER)).read_text(encoding="utf-8")
     return count_tokens(load(spark, folder, "documents"), content)
+
+
+@query("op9_nearest_url_difference")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_main_text(load(spark, folder, "pages"))
+
+
+@query("op10_random_indexing_quality")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    documents = load(spark, folder, "documents")
+    model = fit_quality(documents, load(spark, folder, "labels"))
+    return score_quality(documents, model)
