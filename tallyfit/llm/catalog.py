@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..sources import load
 from ..sources.scratch import write_once
+from .interpolated_lm import score_documents
 from .page_text import extract_main_text
 from .quality_model import fit_quality, score_quality
 from .resharding import OLD_SHARDS, reshard
@@ -94,3 +95,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     documents = load(spark, folder, "documents")
     model = fit_quality(documents, load(spark, folder, "labels"))
     return score_quality(documents, model)
+
+
+@query("op5_deleted_interpolation")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(load(spark, folder, "documents"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .texts import remainder, shuffled_place
 
-SAMPLE_ROWS = 6000  # labelled rows that the fit gathers, in expectation; the bound of the fit
+SAMPLE_ROWS = 4000  # labelled rows that the fit gathers, in expectation; the bound of the fit
 WIDTH = 48
 ENTRIES = 4  # non-zero entries of an index vector
 REACH = 2  # words on either side that make a word's context
@@ -53,15 +53,22 @@ def _hashes(words: list[str]) -> np.ndarray:
     return np.fromiter((digest(w, SEED) for w in words), np.uint64, len(words))
 
 
+def index_entries(hashes: np.ndarray, width: int = WIDTH) -> list[tuple[np.ndarray, ...]]:
+    """Place and sign of each non-zero entry of the index vectors."""
+    entries = []
+    for n in range(ENTRIES):
+        bits = hashes >> np.uint64(16 * n)
+        place = ((bits & np.uint64(0x7FFF)) % np.uint64(width)).astype(np.int64)
+        entries.append((place, np.where(bits >> np.uint64(15) & np.uint64(1), 1.0, -1.0)))
+    return entries
+
+
 def index_vectors(hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
     """The sparse index vector of each hash: a few entries of plus or minus one."""
     vectors = np.zeros((len(hashes), width), np.float32)
     rows = np.arange(len(hashes))
-    for n in range(ENTRIES):
-        bits = hashes >> np.uint64(16 * n)
-        place = ((bits & np.uint64(0x7FFF)) % np.uint64(width)).astype(np.int64)
-        sign = np.where(bits >> np.uint64(15) & np.uint64(1), 1, -1).astype(np.float32)
-        vectors[rows, place] += sign
+    for place, sign in index_entries(hashes, width):
+        vectors[rows, place] += sign.astype(np.float32)
     return vectors
 
 
@@ -85,11 +92,12 @@ def split_words(texts: pa.Array) -> Words:
     told = flat.dictionary_encode()
     distinct, word = told.dictionary.to_pylist(), told.indices.to_numpy()
     starts = np.searchsorted(parent, np.arange(len(texts) + 1))
-    shapes, of_word = np.unique([_shape(w) for w in distinct] or [""], return_inverse=True)
-    shape = of_word[word] * 2
+    seen: dict[str, int] = {}
+    of_word = [seen.setdefault(_shape(w), len(seen)) for w in distinct]
+    shape = np.array(of_word, np.int64)[word] * 2
     again = np.flatnonzero((word[1:] == word[:-1]) & (parent[1:] == parent[:-1])) + 1
     shape[again] += 1
-    both = [s + mark for s in shapes.tolist() for mark in ("\n", "\n=")]
+    both = [s + mark for s in seen for mark in ("\n", "\n=")]
     return Words(distinct, word, both, shape, starts)
 
 
@@ -140,12 +148,12 @@ class QualityModel:
     def _learn_words(self, words: Words) -> None:
         counts = np.bincount(words.word, minlength=len(words.distinct))
         hashes = _hashes(words.distinct)
-        index = index_vectors(hashes)
+        entries = index_entries(hashes)
         keep = np.flatnonzero(counts >= LEAST_COUNT)
         row = np.full(len(counts), -1)
         row[keep] = np.arange(len(keep))
         text = np.repeat(np.arange(len(words.starts) - 1), np.diff(words.starts))
-        context = index[keep].astype(np.float64) * counts[keep, None]
+        context = index_vectors(hashes[keep]).astype(np.float64) * counts[keep, None]
         for step in range(1, REACH + 1):
             if len(text) <= step:
                 break
@@ -153,9 +161,11 @@ class QualityModel:
             left, right = words.word[:-step][same], words.word[step:][same]
             for a, b in ((left, right), (right, left)):
                 known = row[a] >= 0
-                for at in range(0, len(a), GATHER):
-                    part = slice(at, at + GATHER)
-                    np.add.at(context, row[a[part]][known[part]], index[b[part]][known[part]])
+                cell, near = row[a[known]] * WIDTH, b[known]
+                for place, sign in entries:
+                    context += np.bincount(
+                        cell + place[near], sign[near], context.size
+                    ).reshape(context.shape)
         length = np.linalg.norm(context, axis=1, keepdims=True)
         # On the scale of index vectors, so that known and unknown words weigh alike.
         context *= np.sqrt(ENTRIES) / np.where(length > 0, length, 1)
