@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..sources import load
 from ..sources.scratch import write_once
+from .decontamination import find_leaks
 from .interpolated_lm import score_documents
 from .page_text import extract_main_text
 from .quality_model import fit_quality, score_quality
@@ -100,3 +101,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_deleted_interpolation")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return score_documents(load(spark, folder, "documents"))
+
+
+@query("op3_spaced_seed_leaks")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
