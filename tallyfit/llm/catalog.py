@@ -14,6 +14,7 @@ from ..sources.scratch import write_once
 from .decontamination import find_leaks
 from .interpolated_lm import score_documents
 from .page_text import extract_main_text
+from .personal_data import BASE, find_personal_data, written
 from .quality_model import fit_quality, score_quality
 from .resharding import OLD_SHARDS, reshard
 from .simhash_links import simhash_components
@@ -106,3 +107,17 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_spaced_seed_leaks")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
+@query("op2_boosted_candidates")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_personal_data(load(spark, folder, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in BASE],
+        F.sha2(written(F.col("base")), 256).alias("base_sha256"),
+        written(F.concat("base", "added")).alias("spans"),
+    )
