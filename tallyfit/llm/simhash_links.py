@@ -240,3 +240,31 @@ def fingerprint_components(marked: DataFrame, max_bits: int = MAX_BITS) -> DataF
     return write_once(
         placed.join(smallest, "component").select("fingerprint", "component_id"), "components"
     )
+
+
+def near_copy_survivors(
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """The one row of each component that has its smallest key, with all columns of ``df``.
+
+    A null key comes after all others; of rows with equal keys the one whose text has the
+    smaller hash stays, and of rows equal in key and text any one. Texts are shuffled once.
+    """
+    marked = df.withColumn("_mark", F.xxhash64(key, text))
+    narrow = write_once(
+        with_fingerprint(marked, text, "_print", shingle).select(
+            F.col(key).alias("_key"), "_mark", F.col("_print").alias("fingerprint")
+        ),
+        "fingerprints",
+    )
+    # Components are named after keys elsewhere; here every row needs a name of its own.
+    named = narrow.select(F.col("_mark").alias("_key"), "fingerprint")
+    rank = F.struct(F.col("_key").isNull(), F.col("_key"), F.col("_mark"))
+    placed = narrow.join(fingerprint_components(named, max_bits), "fingerprint")
+    first = placed.groupBy("component_id").agg(F.min(rank).alias("first"))
+    stays = write_once(first.select(F.col("first._mark").alias("_mark")), "stays")
+    return marked.join(stays, "_mark", "left_semi").dropDuplicates(["_mark"]).drop("_mark")
