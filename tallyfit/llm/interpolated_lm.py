@@ -67,10 +67,10 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number += 1
         held = rows.column("held").to_numpy(zero_copy_only=False).astype(np.int8)
         keys = pa.array([rows.column("key").to_pylist()], pa.list_(rows.schema.field("key").type))
-        blobs = [held, starts.astype(np.int64), tokens, hashes]
+        blobs = [held, starts.astype(np.int64), packed(tokens), hashes]
         return pa.RecordBatch.from_arrays(
             [pa.array([number]), pa.array([deleted]), keys,
-             *[pa.array([b.tobytes()], pa.binary()) for b in blobs],
+             *[pa.array([bytes(b)], pa.binary()) for b in blobs],
              pa.array([len(tokens)], pa.int64())],
             names=["batch", "deleted", "keys", "held", "starts", "tokens", "hashes", "n_tokens"],
         )
@@ -95,13 +95,23 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield settle(deleted)
 
 
+def packed(tokens: np.ndarray) -> bytes:
+    """Token numbers are small and mostly frequent ones, so they are compressed before they are
+    written and shuffled."""
+    return pa.compress(tokens.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(content: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(content, 4 * count, codec="zstd", asbytes=True), np.int32)
+
+
 class Batch:
     """One encoded batch with its distinct words and bigrams in the order in which it asks."""
 
     def __init__(self, row, buckets: int):
         self.held = np.frombuffer(row.held, np.int8).astype(bool)
         self.starts = np.frombuffer(row.starts, np.int64)
-        self.tokens = np.frombuffer(row.tokens, np.int32)
+        self.tokens = unpacked(row.tokens, row.n_tokens)
         hashes = np.frombuffer(row.hashes, np.uint64)
         before = np.empty_like(self.tokens)
         before[1:] = self.tokens[:-1]
