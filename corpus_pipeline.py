@@ -36,7 +36,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix draws them, the rows of an output shard together."""
-    return mixed_rows(mix_sources(docs)).select(*docs.columns)
+    whole = docs.select("doc_id", "source", "text", F.struct("*").alias("document"))
+    return mixed_rows(mix_sources(whole)).select("document.*")
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
