@@ -34,6 +34,7 @@ RATE = 0.01
 DECAY = 1e-4
 HELD_BACK = 5  # one in so many rows of the sample sets the temperature
 PARTITIONS = 3
+SLICE_BYTES = 6 << 20  # of text whose words are in memory at once
 GATHER = 100_000  # word vectors in memory at once
 SEED = 10
 
@@ -58,8 +59,9 @@ def index_entries(hashes: np.ndarray, width: int = WIDTH) -> list[tuple[np.ndarr
     entries = []
     for n in range(ENTRIES):
         bits = hashes >> np.uint64(16 * n)
-        place = ((bits & np.uint64(0x7FFF)) % np.uint64(width)).astype(np.int64)
-        entries.append((place, np.where(bits >> np.uint64(15) & np.uint64(1), 1.0, -1.0)))
+        place = ((bits & np.uint64(0x7FFF)) % np.uint64(width)).astype(np.int32)
+        sign = np.where(bits >> np.uint64(15) & np.uint64(1), 1, -1).astype(np.float32)
+        entries.append((place, sign))
     return entries
 
 
@@ -68,7 +70,7 @@ def index_vectors(hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
     vectors = np.zeros((len(hashes), width), np.float32)
     rows = np.arange(len(hashes))
     for place, sign in index_entries(hashes, width):
-        vectors[rows, place] += sign.astype(np.float32)
+        vectors[rows, place] += sign
     return vectors
 
 
@@ -84,6 +86,17 @@ class Words:
     starts: np.ndarray
 
 
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive parts of about ``SLICE_BYTES`` each; a longer text is a part of its own."""
+    sizes = pc.coalesce(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends, start = np.cumsum(sizes, dtype=np.int64), 0
+    while start < len(texts):
+        room = (ends[start - 1] if start else 0) + SLICE_BYTES
+        stop = max(start + 1, int(np.searchsorted(ends, room, "right")))
+        yield texts.slice(start, stop - start)
+        start = stop
+
+
 def split_words(texts: pa.Array) -> Words:
     lists = pc.ascii_split_whitespace(pc.coalesce(texts, "").cast(pa.large_string()))
     parent, flat = pc.list_parent_indices(lists), lists.flatten()
@@ -94,7 +107,7 @@ def split_words(texts: pa.Array) -> Words:
     starts = np.searchsorted(parent, np.arange(len(texts) + 1))
     seen: dict[str, int] = {}
     of_word = [seen.setdefault(_shape(w), len(seen)) for w in distinct]
-    shape = np.array(of_word, np.int64)[word] * 2
+    shape = np.array(of_word, np.int32)[word] * 2
     again = np.flatnonzero((word[1:] == word[:-1]) & (parent[1:] == parent[:-1])) + 1
     shape[again] += 1
     both = [s + mark for s in seen for mark in ("\n", "\n=")]
@@ -134,9 +147,8 @@ class QualityModel:
         self.prior = float((labels.sum() + 1) / (len(labels) + 2))
         if len(set(labels.tolist())) < 2:
             return
-        words = split_words(texts)
-        self._learn_words(words)
-        features = self._features(words)
+        self._learn_words(texts)
+        features = np.vstack([self._features(split_words(part)) for part in slices(texts)])
         self.mean, self.scale = features.mean(0), features.std(0) + 1e-3
         inputs = (features - self.mean) / self.scale
         back = np.arange(len(labels)) % HELD_BACK == HELD_BACK - 1
@@ -145,43 +157,58 @@ class QualityModel:
         back = back if back.any() else fit
         self.temperature = self._best_temperature(self._logits(inputs[back]), labels[back])
 
-    def _learn_words(self, words: Words) -> None:
-        counts = np.bincount(words.word, minlength=len(words.distinct))
+    def _learn_words(self, texts: pa.Array) -> None:
+        """Two passes over the sample, some texts at a time: counts, then contexts."""
+        seen = []
+        for part in slices(texts):
+            words = split_words(part)
+            counts = np.bincount(words.word, minlength=len(words.distinct))
+            seen.append((_hashes(words.distinct), counts))
+        hashes, place = np.unique(np.concatenate([h for h, _ in seen]), return_inverse=True)
+        counts = np.bincount(place, np.concatenate([c for _, c in seen]), len(hashes))
+        keep = counts >= LEAST_COUNT
+        self.known = hashes[keep]
+        self.share = counts[keep] / max(1, counts.sum())
+        context = index_vectors(self.known) * counts[keep, None].astype(np.float32)
+        for part in slices(texts):
+            self._add_contexts(split_words(part), context)
+        length = np.linalg.norm(context, axis=1, keepdims=True)
+        # On the scale of index vectors, so that known and unknown words weigh alike.
+        self.vectors = context * (np.sqrt(ENTRIES) / np.where(length > 0, length, 1)).astype(
+            np.float32)
+
+    def _add_contexts(self, words: Words, context: np.ndarray) -> None:
+        """Add to each known word's vector the index vectors of the words around it."""
         hashes = _hashes(words.distinct)
         entries = index_entries(hashes)
-        keep = np.flatnonzero(counts >= LEAST_COUNT)
-        row = np.full(len(counts), -1)
-        row[keep] = np.arange(len(keep))
-        text = np.repeat(np.arange(len(words.starts) - 1), np.diff(words.starts))
-        context = index_vectors(hashes[keep]).astype(np.float64) * counts[keep, None]
+        row = self._row_of(hashes)
+        text = np.repeat(np.arange(len(words.starts) - 1, dtype=np.int32), np.diff(words.starts))
         for step in range(1, REACH + 1):
-            if len(text) <= step:
-                break
             same = text[step:] == text[:-step]
             left, right = words.word[:-step][same], words.word[step:][same]
             for a, b in ((left, right), (right, left)):
-                known = row[a] >= 0
-                cell, near = row[a[known]] * WIDTH, b[known]
-                for place, sign in entries:
-                    context += np.bincount(
-                        cell + place[near], sign[near], context.size
-                    ).reshape(context.shape)
-        length = np.linalg.norm(context, axis=1, keepdims=True)
-        # On the scale of index vectors, so that known and unknown words weigh alike.
-        context *= np.sqrt(ENTRIES) / np.where(length > 0, length, 1)
-        order = np.argsort(hashes[keep])
-        self.known = hashes[keep][order]
-        self.vectors = context[order].astype(np.float32)
-        self.share = (counts[keep] / counts.sum())[order]
+                for at in range(0, len(a), GATHER):
+                    cell, near = row[a[at:at + GATHER]], b[at:at + GATHER]
+                    known = cell >= 0
+                    cell, near = cell[known] * WIDTH, near[known]
+                    for place, sign in entries:
+                        np.add.at(context.reshape(-1), cell + place[near],
+                                  sign[near])
+
+    def _row_of(self, hashes: np.ndarray) -> np.ndarray:
+        """The row of each hash among the known words, -1 for an unknown one."""
+        if not len(self.known):
+            return np.full(len(hashes), -1)
+        place = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return np.where(self.known[place] == hashes, place, -1)
 
     def _word_vectors(self, words: list[str]) -> np.ndarray:
         hashes = _hashes(words)
         vectors = index_vectors(hashes)
-        if len(self.known) and len(hashes):
-            place = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
-            known = self.known[place] == hashes
-            weight = COMMON / (COMMON + self.share[place[known]])
-            vectors[known] = self.vectors[place[known]] * weight[:, None]
+        row = self._row_of(hashes)
+        known = row >= 0
+        weight = COMMON / (COMMON + self.share[row[known]])
+        vectors[known] = self.vectors[row[known]] * weight[:, None]
         return vectors
 
     def _features(self, words: Words) -> np.ndarray:
@@ -224,8 +251,11 @@ class QualityModel:
     def score(self, texts: pa.Array) -> np.ndarray:
         if self.net is None:
             return np.full(len(texts), self.prior)
-        inputs = (self._features(split_words(texts)) - self.mean) / self.scale
-        return _sigmoid(self._logits(inputs) / self.temperature)
+        scores = [np.zeros(0)]
+        for part in slices(texts):
+            inputs = (self._features(split_words(part)) - self.mean) / self.scale
+            scores.append(_sigmoid(self._logits(inputs) / self.temperature))
+        return np.concatenate(scores)
 
 
 def _sigmoid(values: np.ndarray) -> np.ndarray:
