@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import TEXT_SEED
+from ..functions import hash_percent
 from ..operators import (
     CategoryIndex,
     attach_features,
@@ -317,12 +318,14 @@ def profile_events_sorted(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "drop_missing_columns",
-    f"SELECT event_id, value FROM events WHERE {sql_percent('event_id')} < 80",
+    f"""SELECT event_id, value,
+               CASE WHEN {sql_percent('event_id')} < 80 THEN 'train' ELSE 'test' END AS part
+        FROM events""",
 )
 def drop_missing_columns(spark: SparkSession, folder: str) -> DataFrame:
     train, test = split_by_key(events_with_gaps(spark, folder), "event_id")
     train, test = drop_columns_missing_in(test, train, test, always=["user_id"])
-    return train
+    return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
 
 
 @query(
@@ -355,10 +358,8 @@ def random_parts(spark: SparkSession, folder: str) -> DataFrame:
 )
 def hash_parts(spark: SparkSession, folder: str) -> DataFrame:
     keys = load(spark, folder, "documents").select("doc_id")
-    train, rest = split_by_key(keys, "doc_id", 80)
-    return train.withColumn("part", F.lit("train")).union(
-        rest.withColumn("part", F.lit("holdout"))
-    )
+    part = F.when(hash_percent("doc_id") < 80, "train").otherwise("holdout")
+    return keys.withColumn("part", part)
 
 
 @query(

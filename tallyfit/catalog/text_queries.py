@@ -40,15 +40,14 @@ def clean_text(spark: SparkSession, folder: str) -> DataFrame:
     return documents.select("doc_id", remove_characters("text").alias("text"))
 
 
-_REMOVE = str.maketrans("", "", "?,.")
-
-
 @query(
     "udf_clean_text",
     f"SELECT doc_id, regexp_replace(text, '{REMOVED_CHARACTERS}', '', 'g') AS text FROM documents",
 )
 def udf_clean_text(spark: SparkSession, folder: str) -> DataFrame:
-    clean = register_text_udf(spark, "remove_marks", lambda text: text.translate(_REMOVE))
+    clean = register_text_udf(
+        spark, "remove_marks", lambda texts: texts.str.replace(REMOVED_CHARACTERS, "", regex=True)
+    )
     documents = spread(load(spark, folder, "documents").select("doc_id", "text"))
     return documents.select("doc_id", clean("text").alias("text"))
 

@@ -9,15 +9,17 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
-def register_text_udf(spark: SparkSession, name: str, function: Callable[[str], str]):
-    """Register ``function`` (text to text) under ``name`` and return it for columns.
+def register_text_udf(
+    spark: SparkSession, name: str, function: Callable[[pd.Series], pd.Series]
+):
+    """Register ``function`` (a series of texts to another) under ``name``, for columns too.
 
-    Batches travel as Arrow columns; null stays null without a call. Prefer a built-in
+    Batches travel as Arrow columns and are handed over whole; null stays null. Prefer a built-in
     expression where one exists, as the optimiser cannot see into a user function.
     """
 
     @F.pandas_udf("string")
     def apply(texts: pd.Series) -> pd.Series:
-        return texts.map(function, na_action="ignore")
+        return function(texts).where(texts.notna(), None)
 
     return spark.udf.register(name, apply)

@@ -7,7 +7,6 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 # Beyond them at most this many keys are broadcast: those that hold more than
 # 1/HOT_KEYS of all rows each, of which there cannot be more than HOT_KEYS.
 HOT_KEYS = 100_000
-HOT_KEY_BYTES = 256
 
 # Distinct values of one column that a string indexer may collect on the driver.
 DRIVER_LABELS = 100_000
@@ -15,5 +14,5 @@ DRIVER_LABELS = 100_000
 # What the partial results of a fit may take on the driver at once.
 DRIVER_BYTES = 256 * 1024 * 1024
 
-# Width of a vector whose covariance matrix is built.
+# Columns per side of the part of a covariance matrix that one task builds at a time.
 COVARIANCE_WIDTH = 1024

@@ -42,12 +42,16 @@ def attach_lookup(
     Rows whose key is null or not in ``lookup`` get ``default``. A lookup table of checked
     small size is broadcast. A larger one is joined in two parts: keys that hold many rows
     of ``df`` are few by definition and are broadcast, so their rows are not shuffled at
-    all; the rest, with no heavy key among them, goes through a shuffle join. ``weight``
+    all; the rest, with no heavy key among them, goes through a shuffle join. A heavy key of
+    any length travels as its hash and digest, so that only ``value``, which should be short,
+    decides what is broadcast. ``weight``
     names a column of ``lookup`` with the rows of ``df`` per key; without it they are
     counted.
     """
-    key_bytes = F.octet_length(F.col(key).cast("string"))
-    size = lookup.agg(F.count("*").alias("rows"), F.sum(key_bytes + 16).alias("bytes")).first()
+    entry_bytes = sum(
+        F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in (key, value)
+    )
+    size = lookup.agg(F.count("*").alias("rows"), F.sum(entry_bytes + 16).alias("bytes")).first()
     pairs = lookup.select(key, value)
     if size["rows"] <= limits.BROADCAST_ROWS and (size["bytes"] or 0) <= limits.BROADCAST_BYTES:
         return _with_default(df.join(F.broadcast(pairs), key, "left"), value, default)
@@ -58,17 +62,20 @@ def attach_lookup(
         weighed = lookup.select(key, F.col(weight).alias("_weight"))
     weighed = write_once(weighed, "weights")
     total = weighed.agg(F.sum("_weight")).first()[0] or 0
-    hot_keys = weighed.where(
-        (F.col("_weight") > total / limits.HOT_KEYS) & (key_bytes <= limits.HOT_KEY_BYTES)
-    ).select(key)
-    hot_found = pairs.join(F.broadcast(hot_keys), key)
-    hot = hot_keys.join(F.broadcast(hot_found), key, "left").withColumn("_hot", F.lit(True))
+    # The digest is taken only of rows whose hash is that of a heavy key.
+    digest = F.sha2(F.col(key).cast("string").cast("binary"), 256)
+    is_hot = (F.xxhash64(key) == F.col("_hash")) & (digest == F.col("_digest"))
+    hot_keys = weighed.where(F.col("_weight") > total / limits.HOT_KEYS).select(
+        F.xxhash64(key).alias("_hash"), digest.alias("_digest")
+    )
+    hot_found = pairs.join(F.broadcast(hot_keys), is_hot).select("_hash", "_digest", value)
+    hot = hot_keys.join(F.broadcast(hot_found), ["_hash", "_digest"], "left")
 
-    marked = df.join(F.broadcast(hot), key, "left")
-    head = marked.where(F.col("_hot") | F.col(key).isNull()).drop("_hot")
-    rest = df.where(F.col(key).isNotNull()).join(F.broadcast(hot_keys), key, "left_anti")
+    marked = df.join(F.broadcast(hot), is_hot, "left")
+    head = marked.where(F.col("_hash").isNotNull() | F.col(key).isNull()).drop("_hash", "_digest")
+    rest = df.where(F.col(key).isNotNull()).join(F.broadcast(hot_keys), is_hot, "left_anti")
     tail = rest.join(pairs, key, "left")
-    return _with_default(head.unionByName(tail), value, default)
+    return _with_default(tail.unionByName(head), value, default)
 
 
 def _with_default(df: DataFrame, value: str, default) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +18,11 @@ def fill_text(df: DataFrame, value: str = "") -> DataFrame:
     return df.na.fill(value)
 
 
-def fill_numbers(df: DataFrame, value: float = 0) -> DataFrame:
-    """Replace nulls in numeric columns only."""
-    return df.na.fill(value)
+def fill_numbers(
+    df: DataFrame, value: float = 0, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Replace nulls in numeric columns only: in all of them, or in those of ``columns``."""
+    return df.na.fill(value, None if columns is None else list(columns))
 
 
 def cast_label(df: DataFrame, source: str, label: str = "label") -> DataFrame:

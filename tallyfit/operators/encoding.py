@@ -77,23 +77,30 @@ class CategoryIndex:
                 self.sizes[c] = self.large[c].count()
         return self
 
+    def _checked(self, df: DataFrame, column: str) -> DataFrame:
+        """Treat the values without an index, and describe the index column to later stages,
+        as the string indexer does for columns with few values."""
+        name, size = column + self.suffix, self.sizes[column]
+        if self.handle_invalid == "skip":
+            df = df.where(F.col(name).isNotNull())
+        elif self.handle_invalid == "error":
+            unseen = F.raise_error(F.lit(f"unseen value in {column}"))
+            df = df.withColumn(name, F.when(F.col(name).isNull(), unseen).otherwise(F.col(name)))
+        count = size + 1 if self.handle_invalid == "keep" else size
+        nominal = {"type": "nominal", "name": name, "num_vals": count}
+        return df.withMetadata(name, {"ml_attr": nominal})
+
     def transform(self, df: DataFrame) -> DataFrame:
-        """Add one index column per column; values not seen in ``fit`` get the next index."""
+        """Add one index column per column. Values not seen in ``fit``, and nulls, get the next
+        index (``keep``), take their row away (``skip``) or are an error (``error``)."""
         if self.small is not None:
             df = self.small.transform(df)
         for c, lookup in self.large.items():
             keyed = df.withColumn("_value", F.col(c).cast("string"))
             default = float(self.sizes[c]) if self.handle_invalid == "keep" else None
             joined = attach_lookup(keyed, lookup, "_value", c + self.suffix, default)
-            if default is None:
-                index = F.col(c + self.suffix)
-                joined = joined.withColumn(
-                    c + self.suffix,
-                    F.when(index.isNull(), F.raise_error(F.lit(f"unseen value in {c}")))
-                    .otherwise(index),
-                )
             # One join per column: written down so that the next one does not redo it.
-            df = write_once(joined.drop("_value"), "indexed")
+            df = self._checked(write_once(joined.drop("_value"), "indexed"), c)
         return df
 
 

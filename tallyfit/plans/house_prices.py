@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -11,6 +12,7 @@ from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..fixed_values import (
@@ -29,6 +31,7 @@ from ..fixed_values import (
 from ..operators.cleaning import fill_numbers, keep_below
 from ..operators.encoding import CategoryIndex
 from ..operators.profiling import drop_columns_missing_in
+from ..operators.splitting import split_by_key
 from ..sources.scratch import write_once
 from .fit_size import tree_depth
 
@@ -46,7 +49,7 @@ class HousePrices:
     tuned: TrainValidationSplitModel
 
     def features(self, df: DataFrame) -> DataFrame:
-        return self.vectors.transform(fill_numbers(self.index.transform(df)))
+        return self.vectors.transform(fill_numbers(self.index.transform(df), columns=self.numbers))
 
 
 def house_columns(
@@ -75,9 +78,13 @@ def fit_house_prices(
 ) -> HousePrices:
     """Encode categories, put them beside all number columns, and tune a linear regression.
 
-    Everything is fitted on ``train``. Categories that a dropped column took away are left
-    out, and values seen only later get an index of their own.
+    Everything is fitted on the rows of ``train`` that have a target. Categories that a dropped
+    column took away are left out, and values seen only later get an index of their own. Each
+    combination of ``grid`` is fitted on about ``train_ratio`` of the rows and measured on the
+    rest, a split that follows from the key and ``seed`` alone; the best is fitted on all rows.
+    If no row is left for measuring, or none for fitting, there is nothing to tune: an error.
     """
+    train = train.where(F.col(target).isNotNull() & ~F.isnan(F.col(target).cast("double")))
     kept = [c for c in categories if c in train.columns]
     numbers = [
         f.name
@@ -93,12 +100,16 @@ def fit_house_prices(
     assembler = VectorAssembler(
         inputCols=encoder.getOutputCols() + numbers, outputCol="features"
     )
-    indexed = fill_numbers(index.transform(train))
+    indexed = fill_numbers(index.transform(train), columns=numbers)
     vectors = Pipeline(stages=[encoder, assembler]).fit(indexed)
-    rows = vectors.transform(indexed).withColumnRenamed(target, "label")
-    rows = write_once(rows.select("label", "features"), "house-vectors")
-
-    width = rows.first()["features"].size
+    rows = vectors.transform(indexed).select(key, F.col(target).alias("label"), "features")
+    rows = write_once(rows, "house-vectors")
+    parts = split_by_key(rows, key, round(100 * train_ratio), salt=str(seed))
+
+    first = rows.first()
+    if first is None:
+        raise ValueError(f"no row has a value for {target}")
+    width = first["features"].size
     partial = 4 * width * width if width <= NORMAL_EQUATION_WIDTH else 48 * width
     regression = LinearRegression(
         maxIter=LINEAR_MAX_ITER, aggregationDepth=tree_depth(rows, partial)
@@ -114,7 +125,25 @@ def fit_house_prices(
         parallelism=parallelism,
         seed=seed,
     )
-    return HousePrices(key, numbers, index, vectors, tuner.fit(rows))
+    return HousePrices(key, numbers, index, vectors, _tune(tuner, rows, *parts))
+
+
+def _tune(
+    tuner: TrainValidationSplit, rows: DataFrame, train: DataFrame, rest: DataFrame
+) -> TrainValidationSplitModel:
+    """What ``tuner.fit(rows)`` does, on the two parts given instead of random ones."""
+    regression, evaluator = tuner.getEstimator(), tuner.getEvaluator()
+    grid = tuner.getEstimatorParamMaps()
+
+    def measure(combination: dict) -> float:
+        model = regression.fit(train, combination)
+        return evaluator.evaluate(model.transform(rest))
+
+    with ThreadPool(min(tuner.getParallelism(), len(grid))) as pool:
+        metrics = pool.map(measure, grid)
+    best = min(range(len(grid)), key=metrics.__getitem__)
+    model = TrainValidationSplitModel(regression.fit(rows, grid[best]), metrics)
+    return tuner._copyValues(model)
 
 
 def predict_house_prices(

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+FEW_SPLITS = 16
+
+
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -23,11 +26,11 @@ def literal_table(
 def spread(scan: DataFrame) -> DataFrame:
     """Spread a table with few input splits over all cores, before work that is heavy per row.
 
-    Files of one row group cannot be split by the scan. A table with at least two splits
-    per core, so any large one, is left alone and not shuffled.
+    Files of one row group cannot be split by the scan. A table with at least ``FEW_SPLITS``
+    splits, about 2 GB, is left alone and not shuffled, however many cores there are.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < 2 * cores else scan
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < FEW_SPLITS else scan
 
 
 def text_set(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:

@@ -2,9 +2,8 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import functions as F
 
 from tallyfit import limits
 from tallyfit.operators import CategoryIndex, category_index, covariance_matrix, vector_positions
@@ -55,7 +54,9 @@ def test_vector_positions_of_both_kinds(spark):
     assert got == [(1, 2, 1.0), (1, 7, 3.0), (2, 1, 5.0)]
 
 
-def test_covariance_against_numpy(spark):
+@pytest.mark.parametrize("block", [1024, 2])
+def test_covariance_against_numpy(spark, monkeypatch, block):
+    monkeypatch.setattr(limits, "COVARIANCE_WIDTH", block)
     rng = np.random.default_rng(0)
     data = rng.normal(size=(200, 5)) + 1000
     df = spark.createDataFrame([(x.tolist(),) for x in data], "x array<double>").repartition(7)
@@ -65,7 +66,28 @@ def test_covariance_against_numpy(spark):
     assert np.allclose(got, np.cov(data.T))
 
 
-def test_covariance_refuses_wide_arrays(spark, monkeypatch):
-    monkeypatch.setattr(limits, "COVARIANCE_WIDTH", 2)
-    with pytest.raises(ValueError, match="3 columns"):
-        covariance_matrix(spark.range(3).select(F.array("id", "id", "id").alias("x")), "x")
+def test_covariance_of_an_empty_table(spark):
+    df = spark.createDataFrame([(None,)], "x array<double>")
+    assert covariance_matrix(df, "x").collect() == []
+    assert covariance_matrix(df.limit(0), "x").collect() == []
+
+
+INVALID = [(1, 8), (2, 7), (3, None), (4, 9)]
+
+
+@pytest.mark.parametrize("handle_invalid", ["keep", "skip", "error"])
+def test_both_ways_treat_unseen_values_alike(rows, spark, monkeypatch, handle_invalid):
+    seen = rows.where("s is not null")
+    later = literal_table(spark, INVALID, "id int, n int")
+    if handle_invalid == "error":
+        later = later.where("n in (8, 9)")
+    found = []
+    for bound in (100, 0):
+        monkeypatch.setattr(limits, "DRIVER_LABELS", bound)
+        index = CategoryIndex(["n"], handle_invalid=handle_invalid).fit(seen)
+        encoder = OneHotEncoder(inputCol="nIndex", outputCol="v", handleInvalid="keep")
+        vectors = encoder.fit(index.transform(seen)).transform(index.transform(later))
+        found.append(sorted((r.id, r.n, r.nIndex, r.v.size, r.v.indices.tolist())
+                            for r in vectors.collect()))
+    assert found[0] == found[1]
+    assert len(found[0]) == {"keep": 4, "skip": 2, "error": 2}[handle_invalid]

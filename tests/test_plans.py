@@ -162,6 +162,19 @@ def test_house_prices_from_csv_to_csv(spark):
     assert results.where("parameter = 'fitIntercept'").count() == 2
 
 
+def test_rows_without_a_price_teach_nothing(spark):
+    rows = [_house(i, True) for i in range(160)]
+    for row in rows[::2]:
+        row["SalePrice"] = None
+    rows = spark.createDataFrame(rows)
+    priced = fit_house_prices(rows.where("SalePrice is not null"))
+    model = fit_house_prices(rows.repartition(5))
+    assert model.tuned.validationMetrics == pytest.approx(priced.tuned.validationMetrics, rel=1e-6)
+    assert predict_house_prices(model, rows).where("SalePrice < 50000").count() == 0
+    with pytest.raises(ValueError, match="SalePrice"):
+        fit_house_prices(rows.where("SalePrice is null"))
+
+
 def test_wide_categories_take_the_joined_way(spark, monkeypatch):
     from tallyfit import limits
 

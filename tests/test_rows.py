@@ -152,6 +152,18 @@ def test_attach_lookup_is_whole_whatever_the_way(spark, monkeypatch, rows_bound,
         assert v == (-1 if k is None or k == 1 else k * 10)
 
 
+def test_attach_lookup_splits_off_long_heavy_keys(spark, monkeypatch):
+    monkeypatch.setattr(limits, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(limits, "HOT_KEYS", 4)
+    key = F.when(F.col("id") % 3 == 0, F.lit("x" * 5000)).otherwise(F.col("id").cast("string"))
+    df = spark.range(600).withColumn("k", key)
+    lookup = df.groupBy("k").agg(F.min("id").alias("v"))
+    result = attach_lookup(df, lookup, "k", "v")
+    assert result.columns == ["k", "id", "v"]
+    got = {r.id: r.v for r in result.collect()}
+    assert got == {i: 0 if i % 3 == 0 else i for i in range(600)}
+
+
 def test_positions_and_earlier_totals_over_many_partitions(spark):
     df = spark.range(0, 5000, 1, 16).select(
         (F.pmod(F.xxhash64("id"), F.lit(100000))).alias("x"), "id", (F.col("id") % 7).alias("w")

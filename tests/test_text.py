@@ -35,7 +35,7 @@ def test_remove_characters(texts):
 
 
 def test_text_udf_by_name_and_with_nulls(spark):
-    double = register_text_udf(spark, "twice", lambda text: text + text)
+    double = register_text_udf(spark, "twice", lambda texts: texts + texts)
     df = literal_table(spark, [("ab",), (None,)], "t string")
     assert [r[0] for r in df.select(double("t")).collect()] == ["abab", None]
     assert [r[0] for r in df.selectExpr("twice(t)").collect()] == ["abab", None]
