@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from ..sources import load
 from ..sources.scratch import write_once
+from .centroid_clusters import cluster_vectors
 from .decontamination import find_leaks
 from .interpolated_lm import score_documents
+from .merkle_manifest import audited
 from .page_text import extract_main_text
 from .personal_data import BASE, find_personal_data, written
 from .quality_model import fit_quality, score_quality
@@ -121,3 +123,13 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(written(F.col("base")), 256).alias("base_sha256"),
         written(F.concat("base", "added")).alias("spans"),
     )
+
+
+@query("op11_veb_merkle_manifest")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return audited(load(spark, folder, "documents"))
+
+
+@query("op13_incremental_centroids")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return cluster_vectors(load(spark, folder, "embeddings"))
