@@ -18,6 +18,7 @@ from .merkle_manifest import audited
 from .page_text import extract_main_text
 from .personal_data import BASE, find_personal_data, written
 from .quality_model import fit_quality, score_quality
+from .repeated_bytes import repeated_bytes
 from .resharding import OLD_SHARDS, reshard
 from .simhash_links import simhash_components
 from .source_mixing import mix_sources
@@ -133,3 +134,13 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_incremental_centroids")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return cluster_vectors(load(spark, folder, "embeddings"))
+
+
+@query("op12_deep_shallow_repeats")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeated_bytes(load(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), "kept_sha256",
+    )

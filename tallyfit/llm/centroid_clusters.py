@@ -100,8 +100,8 @@ def _settled(ids, vectors: np.ndarray, dots: np.ndarray, centroids: np.ndarray)
     nearest, away = assigned(vectors, dots, centroids)
     sums = np.zeros((count, vectors.shape[1]), np.int64)
     np.add.at(sums, nearest, vectors)
-    inertia = np.zeros(count, np.int64)
-    np.add.at(inertia, nearest, away)
+    inertia = np.zeros((count, 2), np.int64)  # upper and lower 32 bits of all distances
+    np.add.at(inertia, nearest, np.stack([away >> 32, away & 0xFFFFFFFF], 1))
     return (ids, _blob(vectors, np.int32), _blob(dots), _blob(nearest, np.int32), _blob(away),
             _blob(sums), _blob(np.bincount(nearest, minlength=count)), _blob(inertia))
 
@@ -146,7 +146,8 @@ def _totals(count: int, dimensions: int):
             for row in frame.itertuples(index=False):
                 sums += _values(row.sums, count * dimensions).reshape(count, dimensions)
                 counts += _values(row.counts, count)
-                inertia += _values(row.inertia, count)
+                high, low = _values(row.inertia, 2 * count).reshape(count, 2).T.astype(object)
+                inertia += high * (1 << 32) + low
         yield pd.DataFrame({"cluster": range(count), "n": counts.astype(np.int64),
                             "sums": [[str(v) for v in s] for s in sums],
                             "inertia": [str(v) for v in inertia]})
