@@ -11,6 +11,7 @@ from ..fixed_values import TEXT_SEED
 from ..functions import hash_percent
 from ..operators import (
     CategoryIndex,
+    attach_by_position,
     attach_features,
     cast_label,
     class_balance,
@@ -283,6 +284,23 @@ def attach_part_features(spark: SparkSession, folder: str) -> DataFrame:
     return attach_features(rest, encoded, "p_partkey")
 
 
+@query(
+    "attach_by_position",
+    "SELECT doc_id, text, toxic FROM documents JOIN labels USING (doc_id)",
+)
+def attach_labels_by_position(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts and labels in two CSV files without a common key, row for row."""
+    labels = load(spark, folder, "labels").select("doc_id", "toxic")
+    rows = load(spark, folder, "documents").select("doc_id", "text").join(labels, "doc_id")
+    rows = rows.orderBy("doc_id")
+    texts, marks = new_folder(spark, "texts-csv"), new_folder(spark, "marks-csv")
+    write_csv(rows.select("doc_id", "text"), texts)
+    write_csv(rows.select("toxic").coalesce(2), marks)
+    left = read_csv(spark, texts, "doc_id bigint, text string", row_number="row")
+    right = read_csv(spark, marks, "toxic int", multi_line=False, row_number="row")
+    return attach_by_position(left, right, "row").drop("row")
+
+
 # Profiles.
 
 

@@ -1,6 +1,6 @@
 """Operators: DataFrame in, DataFrame out."""
 
-from .attaching import attach_features, attach_lookup
+from .attaching import attach_by_position, attach_features, attach_lookup
 from .cleaning import cast_label, fill_numbers, fill_text, keep_below
 from .covariance import covariance_matrix
 from .encoding import CategoryIndex, category_index, one_hot_positions, vector_positions
@@ -25,7 +25,7 @@ from .splitting import fold_by_key, random_split, sample_by_key, split_by_key
 from .terms import document_frequency, term_frequency, tf_idf
 
 __all__ = [
-    "CategoryIndex", "area_under_roc", "attach_features", "attach_lookup", "cast_label",
+    "CategoryIndex", "area_under_roc", "attach_by_position", "attach_features", "attach_lookup", "cast_label",
     "category_index", "class_balance", "confusion_matrix", "covariance_matrix",
     "document_frequency", "drop_columns_missing_in", "fill_numbers", "fill_text",
     "fold_by_key", "keep_below", "missing_profile", "one_hot_positions",

@@ -16,9 +16,10 @@ def attach_features(
 ) -> DataFrame:
     """Put the columns of ``features`` beside the row with the same ``key``.
 
-    ``key`` must be unique in ``features``; ``how="left"`` keeps rows without features. A join
-    without a key would pair every row with every other one and is refused, as are columns
-    that both sides have.
+    ``key`` must be unique in ``features``; a key that two feature rows share stops the job, as
+    it would multiply rows. ``how="left"`` keeps rows without features. A join without a key
+    would pair every row with every other one and is refused, as are columns that both sides
+    have. The check is made by the shuffle that the join needs anyway.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if not keys:
@@ -26,7 +27,33 @@ def attach_features(
     shared = set(df.columns) & set(features.columns) - set(keys)
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
-    return df.join(features, keys, how)
+    others = [c for c in features.columns if c not in keys]
+    if not others:
+        return df.join(features, keys, how)
+    found = features.dropna(subset=keys).groupBy(*keys).agg(
+        F.count("*").alias("_rows"), F.first(F.struct(*others)).alias("_features")
+    )
+    said = F.raise_error(F.concat(F.lit("repeated key in features: "), F.to_json(F.struct(*keys))))
+    one = F.when(F.col("_rows") > 1, said.cast("boolean")).otherwise(F.lit(True))
+    unique = found.where(one).select(*keys, "_features.*")
+    return df.join(unique, keys, how)
+
+
+def attach_by_position(left: DataFrame, right: DataFrame, number: str) -> DataFrame:
+    """Put the columns of ``right`` beside the row of ``left`` with the same row number, for
+    tables in files that have no key in common.
+
+    ``number`` names the column that ``read_csv(row_number=...)`` or ``with_row_numbers`` adds
+    to both. Tables of unequal length are refused, as are columns that both have. No two rows
+    share a number, so the join has no heavy key.
+    """
+    shared = set(left.columns) & set(right.columns) - {number}
+    if shared:
+        raise ValueError(f"columns on both sides: {sorted(shared)}")
+    rows = [side.count() for side in (left, right)]
+    if rows[0] != rows[1]:
+        raise ValueError(f"tables of unequal length: {rows[0]} and {rows[1]} rows")
+    return left.join(right, number)
 
 
 def attach_lookup(
