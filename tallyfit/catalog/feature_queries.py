@@ -7,7 +7,6 @@ from pyspark.ml.feature import (
     OneHotEncoder,
     StringIndexer,
     VectorAssembler,
-    VectorIndexer,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +17,7 @@ from ..operators import (
     CategoryIndex,
     category_index,
     covariance_matrix,
+    fit_vector_indexer,
     one_hot_positions,
     vector_positions,
 )
@@ -164,12 +164,7 @@ def vector_index(spark: SparkSession, folder: str) -> DataFrame:
     index = CategoryIndex(["l_returnflag", "l_linestatus"]).fit(lineitem)
     assembler = VectorAssembler(inputCols=_INDEXED + _MEASURED, outputCol="features")
     vectors = assembler.transform(index.transform(lineitem)).select("features")
-    model = VectorIndexer(
-        inputCol="features",
-        outputCol="indexedFeatures",
-        maxCategories=MAX_CATEGORIES,
-        handleInvalid="keep",
-    ).fit(vectors)
+    model = fit_vector_indexer(vectors, "features", "indexedFeatures", MAX_CATEGORIES)
     found = {int(d): len(values) for d, values in model.categoryMaps.items()}
     rows = [(d, found.get(d)) for d in range(model.numFeatures)]
     return spark.createDataFrame(rows, "dimension int, categories bigint")

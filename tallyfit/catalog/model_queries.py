@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixed_values import BALANCED_LOGISTIC, LINEAR_GRID, SPARSE_LOGISTIC
+from ..fixed_values import BALANCED_LOGISTIC, LINEAR_GRID, SPARSE_LOGISTIC, TEXT_SEED
+from ..functions import with_tokens
 from ..operators import (
     CategoryIndex,
+    best_features,
+    chi_squared,
     confusion_matrix,
     per_label_metrics,
     sample_by_key,
@@ -23,16 +28,19 @@ from ..plans import (
     fit_house_prices,
     fit_text_forest,
     fit_text_logistic,
+    forest_nodes,
     forest_summary,
     house_columns,
     loss_history,
     predict_house_prices,
     tune_text_logistic,
     tuning_results,
+    walk_forest,
 )
 from ..plans.vector_classification import with_vector
-from ..sources import load, spread, text_set
+from ..sources import load, spread, text_set, write_once
 from .registry import query, sql_percent
+from .text_queries import TOKENS_SQL
 
 _TEXT = f"""WITH t AS (SELECT doc_id, toxic, {sql_percent('doc_id')} AS bucket
                        FROM documents JOIN labels USING (doc_id))"""
@@ -161,6 +169,90 @@ def describe_forest(spark: SparkSession, folder: str) -> DataFrame:
     return forest_summary(spark, fit_text_forest(train).stages[-2])
 
 
+# The statistic of a term is that of the table present/absent by label. The first split of a
+# tree on such terms is the first of them: its Gini gain is the statistic over the rows, times
+# the impurity of the root.
+
+_TERM_SCORES = f"""WITH t AS (SELECT doc_id, toxic, {TOKENS_SQL} AS tokens
+                              FROM documents JOIN labels USING (doc_id)
+                              WHERE {sql_percent('doc_id')} < 80),
+    n AS (SELECT count(*)::double AS n, sum(toxic)::double AS n1 FROM t),
+    e AS (SELECT DISTINCT doc_id, toxic, unnest(tokens) AS term FROM t),
+    c AS (SELECT term, count(*)::double AS p, sum(toxic)::double AS p1 FROM e GROUP BY term),
+    s AS (SELECT *, CASE WHEN p < n THEN n * (n * (p1 * p1 / n1 + (p - p1) * (p - p1) / (n - n1))
+                                              - p * p) / (p * (n - p)) ELSE 0 END AS chi
+          FROM c, n)"""
+
+
+def training_words(spark: SparkSession, folder: str) -> DataFrame:
+    train, _ = text_parts(spark, folder)
+    words = with_tokens(train).select("doc_id", "label", F.array_distinct("tokens").alias("terms"))
+    return write_once(words, "words")
+
+
+def scored_terms(words: DataFrame) -> DataFrame:
+    entries = words.select("label", F.explode("terms").alias("term"))
+    return chi_squared(entries, words.select("label"), "term", "label")
+
+
+@query(
+    "term_selection",
+    f"""{_TERM_SCORES} SELECT term, p::bigint AS rows, round(chi, 6) AS chi_squared
+        FROM s ORDER BY round(chi, 9) DESC, term LIMIT 200""",
+)
+def select_terms(spark: SparkSession, folder: str) -> DataFrame:
+    scored = scored_terms(training_words(spark, folder))
+    rounded = scored.withColumn("chi_squared", F.round("chi_squared", 9))
+    best = best_features(rounded, "term", 200)
+    return best.withColumn("chi_squared", F.round("chi_squared", 6))
+
+
+@query(
+    "forest_stump",
+    f"""{_TERM_SCORES},
+        b AS (SELECT * FROM s ORDER BY round(chi, 9) DESC, term LIMIT 1),
+        k AS (SELECT *, 2 * p1 > p AS yes, 2 * (n1 - p1) > n - p AS no FROM b)
+        SELECT 0::bigint AS node, CASE WHEN yes <> no THEN term END AS term,
+               CASE WHEN yes <> no THEN
+                    round(chi / n * 2 * n1 / n * (1 - n1 / n), 9) END AS gain,
+               n::bigint AS rows, n1 AS positives, (2 * n1 > n)::int::double AS prediction FROM k
+        UNION ALL SELECT 1, NULL, NULL, (n - p)::bigint, n1 - p1, no::int::double FROM k
+                  WHERE yes <> no
+        UNION ALL SELECT 2, NULL, NULL, p::bigint, p1, yes::int::double FROM k WHERE yes <> no""",
+)
+def forest_stump(spark: SparkSession, folder: str) -> DataFrame:
+    """A tree of one split on the twenty best terms, as a node table."""
+    words = training_words(spark, folder)
+    rounded = scored_terms(words).withColumn("chi_squared", F.round("chi_squared", 9))
+    terms = [r["term"] for r in best_features(rounded, "term", 20).collect()]
+    present = [F.array_contains("terms", t).cast("double") for t in terms]
+    rows = words.select("label", array_to_vector(F.array(*present)).alias("features"))
+    stump = RandomForestClassifier(
+        numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all", seed=TEXT_SEED)
+    nodes = forest_nodes(spark, stump.fit(rows))
+    names = F.array(*[F.lit(t) for t in terms])
+    return nodes.select(
+        "node", F.get(names, F.col("feature").cast("int")).alias("term"),
+        F.round("gain", 9).alias("gain"), "rows", F.col("counts")[1].alias("positives"),
+        "prediction")
+
+
+@query(
+    "forest_walk",
+    f"""{_TEXT} SELECT doc_id, true AS equal FROM t WHERE bucket >= 80""",
+)
+def forest_walk(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out predictions by joins with the node table, against those of the model."""
+    train, rest = text_parts(spark, folder)
+    model = fit_text_forest(train)
+    scored = write_once(
+        model.transform(rest).select("doc_id", "indexedFeatures", "prediction"), "scored")
+    nodes = forest_nodes(spark, model.stages[-2])
+    walked = walk_forest(nodes, scored, "doc_id", "indexedFeatures")
+    both = scored.join(walked.withColumnRenamed("prediction", "walked"), "doc_id")
+    return both.select("doc_id", (F.col("prediction") == F.col("walked")).alias("equal"))
+
+
 @query(
     "linreg_simple",
     """SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,

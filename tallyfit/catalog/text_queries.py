@@ -14,9 +14,9 @@ from .registry import query
 
 _BLANK = r"[ \t\n\x0B\f\r]"
 _TRIMMED = rf"regexp_replace(lower(text), '{_BLANK}+$', '')"
-_TOKENS = rf"""CASE WHEN {_TRIMMED} = '' AND text <> '' THEN []
+TOKENS_SQL = rf"""CASE WHEN {_TRIMMED} = '' AND text <> '' THEN []
                     ELSE string_split_regex({_TRIMMED}, '{_BLANK}') END"""
-_TERMS = f"""WITH words AS (SELECT doc_id, unnest({_TOKENS}) AS term FROM documents),
+_TERMS = f"""WITH words AS (SELECT doc_id, unnest({TOKENS_SQL}) AS term FROM documents),
                   tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
                   freq AS (SELECT term, count(*) AS df FROM tf GROUP BY term)"""
 
@@ -55,7 +55,7 @@ def udf_clean_text(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "tokenize",
     f"""SELECT doc_id, len(tokens) AS n_tokens, array_to_string(tokens, ' ') AS words
-        FROM (SELECT doc_id, {_TOKENS} AS tokens FROM documents)""",
+        FROM (SELECT doc_id, {TOKENS_SQL} AS tokens FROM documents)""",
 )
 def tokenize(spark: SparkSession, folder: str) -> DataFrame:
     return token_rows(spark, folder).select(
@@ -68,7 +68,7 @@ def tokenize(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "remove_stopwords",
     f"""SELECT doc_id, len(words) AS n_tokens, array_to_string(words, ' ') AS words
-        FROM (SELECT doc_id, [x FOR x IN {_TOKENS} IF x NOT IN ({_stop_words_in_sql()})] AS words
+        FROM (SELECT doc_id, [x FOR x IN {TOKENS_SQL} IF x NOT IN ({_stop_words_in_sql()})] AS words
               FROM documents)""",
 )
 def remove_stopwords(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,7 +82,7 @@ def remove_stopwords(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "hashing_tf",
-    f"SELECT doc_id, len({_TOKENS})::double AS occurrences FROM documents",
+    f"SELECT doc_id, len({TOKENS_SQL})::double AS occurrences FROM documents",
 )
 def hashing_tf(spark: SparkSession, folder: str) -> DataFrame:
     hashing = HashingTF(inputCol="tokens", outputCol="rawFeatures", numFeatures=TEXT_FEATURES)

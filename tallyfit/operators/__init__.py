@@ -21,14 +21,16 @@ from .profiling import (
     schema_report,
     value_counts_per_column,
 )
+from .selection import best_features, chi_squared
 from .splitting import fold_by_key, random_split, sample_by_key, split_by_key
 from .terms import document_frequency, term_frequency, tf_idf
+from .vector_categories import few_values, fit_vector_indexer
 
 __all__ = [
     "CategoryIndex", "area_under_roc", "attach_by_position", "attach_features", "attach_lookup", "cast_label",
-    "category_index", "class_balance", "confusion_matrix", "covariance_matrix",
+    "best_features", "category_index", "chi_squared", "class_balance", "confusion_matrix", "covariance_matrix",
     "document_frequency", "drop_columns_missing_in", "fill_numbers", "fill_text",
-    "fold_by_key", "keep_below", "missing_profile", "one_hot_positions",
+    "few_values", "fit_vector_indexer", "fold_by_key", "keep_below", "missing_profile", "one_hot_positions",
     "per_label_metrics", "preview", "random_split", "rmse", "sample_by_key",
     "schema_report", "split_by_key", "term_frequency", "test_error", "tf_idf",
     "value_counts_per_column", "vector_positions", "weighted_metrics",

@@ -1,5 +1,6 @@
 """Model plans: features, fit on training rows only, predict, report."""
 
+from .forest_nodes import forest_nodes, walk_forest
 from .house_prices import fit_house_prices, house_columns, predict_house_prices
 from .model_reports import coefficients, forest_summary, loss_history, tuning_results
 from .text_classification import (
@@ -12,7 +13,7 @@ from .vector_classification import fit_component_logistic, project_components
 
 __all__ = [
     "coefficients", "fit_component_logistic", "fit_house_prices", "fit_text_forest",
-    "fit_text_logistic", "forest_summary", "house_columns", "loss_history",
+    "fit_text_logistic", "forest_nodes", "forest_summary", "house_columns", "loss_history",
     "predict_house_prices", "project_components", "text_counts_stages",
-    "tune_text_logistic", "tuning_results",
+    "tune_text_logistic", "tuning_results", "walk_forest",
 ]

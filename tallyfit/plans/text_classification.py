@@ -20,7 +20,7 @@ from pyspark.ml.feature import (
     StopWordsRemover,
     StringIndexer,
     Tokenizer,
-    VectorIndexer,
+    VectorSlicer,
 )
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -37,17 +37,19 @@ from ..fixed_values import (
     TUNING_PARALLELISM,
 )
 from ..functions.text import stop_words
+from ..operators.encoding import vector_positions
+from ..operators.selection import best_features, chi_squared
 from ..operators.splitting import fold_by_key
+from ..operators.vector_categories import fit_vector_indexer
 from ..sources.scratch import write_once
 from .fit_size import merge_partitions, tree_depth
 
-FOREST_FEATURES = 1 << 12
+# Hashed terms that a forest looks at, those that tell most about the label.
+FOREST_TERMS = 4096
 
-# Bytes per feature in one partial result: a count, the moments of a feature summary, and
-# the few distinct values that the vector indexer keeps.
+# Bytes per feature in one partial result: a count, and the moments of a feature summary.
 COUNT_BYTES = 8
 SUMMARY_BYTES = 48
-DISTINCT_BYTES = 160
 
 
 def _word_stages(text: str, clean: bool) -> list[Transformer]:
@@ -109,29 +111,28 @@ def fit_text_forest(
     text: str = "text",
     label: str = "label",
     clean: bool = False,
-    num_features: int = FOREST_FEATURES,
+    num_features: int = TEXT_FEATURES,
+    terms: int = FOREST_TERMS,
     seed: int = TEXT_SEED,
 ) -> PipelineModel:
     """TF-IDF, label and vector indexing, random forest and the label name of a prediction.
 
     Columns added: ``indexedLabel``, ``prediction`` and ``predictedLabel``; ``stages[-2]`` of
-    the result is the forest. The default width is smaller than for regression, as a forest
-    keeps statistics for every feature, bin and open node.
+    the result is the forest. Text is hashed as widely as for regression. A forest keeps
+    statistics for every feature, bin and open node, so it is fitted on the ``terms`` hashed
+    terms whose presence has the largest chi-squared statistic with the label; a vector slicer
+    carries the choice to new text.
     """
     stages = text_counts_stages(text, clean, num_features)
     counts = _counted(train, stages, label)
     idf = _fit_idf(counts, num_features)
-    vectors = write_once(idf.transform(counts).drop("rawFeatures"), "text-vectors")
+    slicer = VectorSlicer(inputCol="features", outputCol="keptFeatures",
+                          indices=_telling_terms(counts, label, num_features, terms))
+    vectors = slicer.transform(idf.transform(counts)).drop("rawFeatures", "features")
+    vectors = write_once(vectors, "text-vectors")
     labels = StringIndexer(inputCol=label, outputCol="indexedLabel", handleInvalid="keep")
     labels = labels.fit(vectors)
-    indexer = VectorIndexer(
-        inputCol="features",
-        outputCol="indexedFeatures",
-        maxCategories=MAX_CATEGORIES,
-        handleInvalid="keep",
-    )
-    # The vector indexer sends one result per partition to the driver, without a tree.
-    indexer = indexer.fit(merge_partitions(vectors, num_features * DISTINCT_BYTES, depth=1))
+    indexer = fit_vector_indexer(vectors, "keptFeatures", "indexedFeatures", MAX_CATEGORIES)
     forest = RandomForestClassifier(
         labelCol="indexedLabel", featuresCol="indexedFeatures", seed=seed
     ).fit(indexer.transform(labels.transform(vectors)))
@@ -140,7 +141,17 @@ def fit_text_forest(
         outputCol="predictedLabel",
         labels=[*labels.labels, "__unknown"],
     )
-    return PipelineModel([*stages, idf, labels, indexer, forest, names])
+    return PipelineModel([*stages, idf, slicer, labels, indexer, forest, names])
+
+
+def _telling_terms(counts: DataFrame, label: str, width: int, terms: int) -> list[int]:
+    """The hashed terms with the largest statistic; all of them where no more are asked for."""
+    if width <= terms:
+        return list(range(width))
+    entries = vector_positions(counts, label, "rawFeatures")
+    scored = chi_squared(entries, counts.select(label), "position", label)
+    found = best_features(scored, "position", terms).collect()
+    return sorted(r["position"] for r in found) or [0]
 
 
 def tune_text_logistic(
