@@ -19,6 +19,8 @@ from ..operators import (
     covariance_matrix,
     fit_vector_indexer,
     one_hot_positions,
+    principal_components,
+    project,
     vector_positions,
 )
 from ..plans.vector_classification import project_components, with_vector
@@ -180,6 +182,39 @@ def pca_project(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# The sums of the first three powers of all variances along components are traces of powers
+# of the covariance matrix; rows along different components have no covariance.
+
+
+@query(
+    "pca_spectrum",
+    """WITH v AS (SELECT vec_id, unnest(embedding)::double AS x,
+                         generate_subscripts(embedding, 1) - 1 AS i FROM embeddings),
+            c AS (SELECT a.i, b.i AS j, covar_samp(a.x, b.x) AS c
+                  FROM v a JOIN v b USING (vec_id) GROUP BY a.i, b.i)
+       SELECT 'power 1' AS name, round(sum(c), 6) AS value FROM c WHERE i = j
+       UNION ALL SELECT 'power 2', round(sum(c * c), 6) FROM c
+       UNION ALL SELECT 'power 3', round(sum(a.c * b.c * d.c), 6)
+                 FROM c a JOIN c b ON a.j = b.i JOIN c d ON b.j = d.i AND d.j = a.i
+       UNION ALL SELECT 'covariance ' || x, 0.0 FROM (VALUES ('0 1'), ('0 2'), ('1 2')) t(x)
+       UNION ALL SELECT 'variance off by ' || x, 0.0 FROM (VALUES ('0'), ('1'), ('2')) t(x)""",
+)
+def pca_spectrum(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = with_vector(load(spark, folder, "embeddings"), "embedding")
+    found = principal_components(vectors, "features", 64)
+    variances = found.variances
+    rows = [(f"power {p}", round(float((variances ** p).sum()), 6)) for p in (1, 2, 3)]
+    along = project(vectors, "vec_id", "features", found).select(
+        *[F.get("projected", F.lit(i)).alias(f"pc{i}") for i in range(COMPONENTS)])
+    pairs = [(i, j) for i in range(COMPONENTS) for j in range(i, COMPONENTS)]
+    got = along.agg(*[F.covar_samp(f"pc{i}", f"pc{j}").alias(f"{i} {j}") for i, j in pairs])
+    for (i, j), value in zip(pairs, got.first()):
+        name = f"covariance {i} {j}" if i < j else f"variance off by {i}"
+        off = value - (float(variances[i]) if i == j else 0.0)
+        rows.append((name, abs(round(off, 6))))
+    return spark.createDataFrame(rows, "name string, value double")
+
+
 @query(
     "covariance_matrix",
     """WITH v AS (SELECT vec_id, unnest(embedding)::double AS x,

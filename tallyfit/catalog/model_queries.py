@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from ..operators import (
     per_label_metrics,
     sample_by_key,
     split_by_key,
+    vector_positions,
     weighted_metrics,
 )
 from ..plans import (
@@ -31,7 +33,9 @@ from ..plans import (
     forest_nodes,
     forest_summary,
     house_columns,
+    logistic_objective,
     loss_history,
+    model_weights,
     predict_house_prices,
     tune_text_logistic,
     tuning_results,
@@ -156,6 +160,63 @@ def logreg_losses(spark: SparkSession, folder: str) -> DataFrame:
     return loss_history(spark, model.stages[-1])
 
 
+# Without a penalty a fit on group indicators predicts each group's share of positives. A
+# fit starts with no weights, where its loss is the entropy of the labels.
+
+_GROUP = "CASE WHEN lang IN ('en', 'de') THEN lang ELSE 'other' END"
+
+
+@query(
+    "logreg_groups",
+    f"""WITH g AS (SELECT {_GROUP} AS lang, count(*) AS rows, sum(toxic) AS yes
+                   FROM documents JOIN labels USING (doc_id) GROUP BY 1)
+        SELECT lang, rows, round(yes / rows, 5) AS probability,
+               round(ln(yes / (rows - yes)) - ln((SELECT yes / (rows - yes) FROM g
+                                                  WHERE lang = 'other')), 3) AS coefficient,
+               ((2 * yes > rows)::int)::double AS prediction FROM g""",
+)
+def logreg_groups(spark: SparkSession, folder: str) -> DataFrame:
+    documents = load(spark, folder, "documents").select("doc_id", F.expr(_GROUP).alias("lang"))
+    labels = load(spark, folder, "labels").select("doc_id", F.col("toxic").cast("double"))
+    shown = [F.col("lang") == name for name in ("en", "de")]
+    vector = array_to_vector(F.array(*[F.coalesce(s, F.lit(False)).cast("double") for s in shown]))
+    rows = documents.join(labels, "doc_id").select(
+        "lang", F.col("toxic").alias("label"), vector.alias("features"))
+    model = LogisticRegression(maxIter=200, tol=1e-12).fit(write_once(rows, "groups"))
+    weights = zip(("en", "de", "other"), [*map(float, model.coefficients), 0.0])
+    names = F.create_map(*[F.lit(x) for pair in weights for x in pair])
+    scored = model.transform(rows).withColumn("p", vector_to_array("probability")[1])
+    groups = scored.groupBy("lang").agg(
+        F.count("*").alias("rows"), F.round(F.avg("p"), 5).alias("probability"),
+        F.max("prediction").alias("prediction"))
+    return groups.withColumn("coefficient", F.round(names[F.col("lang")], 3))
+
+
+@query(
+    "logreg_objective",
+    f"""{_TEXT}, s AS (SELECT avg(toxic) AS p FROM t WHERE bucket < 80)
+        SELECT 'first loss' AS name, round(-p * ln(p) - (1 - p) * ln(1 - p), 6) AS value FROM s
+        UNION ALL SELECT 'last loss off by', 0.0 UNION ALL SELECT 'loss falls', 1.0""",
+)
+def logreg_objective(spark: SparkSession, folder: str) -> DataFrame:
+    """The reported losses of a text model against the labels and against its own weights."""
+    train, _ = text_parts(spark, folder)
+    model = fit_text_logistic(train, settings=BALANCED_LOGISTIC)
+    fitted, losses = model.stages[-1], model.stages[-1].summary.objectiveHistory
+    features = write_once(
+        PipelineModel(model.stages[:-1]).transform(train).select("doc_id", "label", "features"),
+        "features")
+    found = logistic_objective(
+        vector_positions(features, "doc_id", "features"), features.select("doc_id", "label"),
+        model_weights(spark, fitted), fitted.intercept, "doc_id",
+        BALANCED_LOGISTIC["regParam"], BALANCED_LOGISTIC["elasticNetParam"])
+    falls = all(a >= b for a, b in zip(losses, losses[1:])) and losses[-1] < losses[0]
+    return spark.createDataFrame(
+        [("first loss", round(float(losses[0]), 6)),
+         ("last loss off by", abs(round(found.loss - float(losses[-1]), 6))),
+         ("loss falls", float(falls))], "name string, value double")
+
+
 @query("random_forest_predict")
 def random_forest_predict(spark: SparkSession, folder: str) -> DataFrame:
     train, rest = text_parts(spark, folder)

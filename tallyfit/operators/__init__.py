@@ -2,6 +2,7 @@
 
 from .attaching import attach_by_position, attach_features, attach_lookup
 from .cleaning import cast_label, fill_numbers, fill_text, keep_below
+from .components import Components, principal_components, project
 from .covariance import covariance_matrix
 from .encoding import CategoryIndex, category_index, one_hot_positions, vector_positions
 from .metrics import (
@@ -27,11 +28,11 @@ from .terms import document_frequency, term_frequency, tf_idf
 from .vector_categories import few_values, fit_vector_indexer
 
 __all__ = [
-    "CategoryIndex", "area_under_roc", "attach_by_position", "attach_features", "attach_lookup", "cast_label",
+    "CategoryIndex", "Components", "area_under_roc", "attach_by_position", "attach_features", "attach_lookup", "cast_label",
     "best_features", "category_index", "chi_squared", "class_balance", "confusion_matrix", "covariance_matrix",
     "document_frequency", "drop_columns_missing_in", "fill_numbers", "fill_text",
     "few_values", "fit_vector_indexer", "fold_by_key", "keep_below", "missing_profile", "one_hot_positions",
-    "per_label_metrics", "preview", "random_split", "rmse", "sample_by_key",
+    "per_label_metrics", "preview", "principal_components", "project", "random_split", "rmse", "sample_by_key",
     "schema_report", "split_by_key", "term_frequency", "test_error", "tf_idf",
     "value_counts_per_column", "vector_positions", "weighted_metrics",
     "with_earlier_totals", "with_position",
