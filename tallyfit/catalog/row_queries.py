@@ -359,10 +359,16 @@ def text_class_balance(spark: SparkSession, folder: str) -> DataFrame:
 # Splits and samples.
 
 
-@query("random_split")
+@query(
+    "random_split",
+    f"""SELECT doc_id, CASE WHEN place <= floor(0.8::double * rows) THEN 'train' ELSE 'holdout' END
+                       AS part
+        FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('{TEXT_SEED}:' || doc_id)) AS place,
+                     count(*) OVER () AS rows FROM documents)""",
+)
 def random_parts(spark: SparkSession, folder: str) -> DataFrame:
     keys = load(spark, folder, "documents").select("doc_id")
-    train, rest = random_split(keys, [0.8, 0.2], TEXT_SEED)
+    train, rest = random_split(keys, [0.8, 0.2], TEXT_SEED, "doc_id")
     return train.withColumn("part", F.lit("train")).union(
         rest.withColumn("part", F.lit("holdout"))
     )

@@ -31,12 +31,16 @@ def stop_words(extra: Sequence[str] = EXTRA_STOP_WORDS) -> list[str]:
     return [word.strip() for word in extra] + ENGLISH_STOP_WORDS
 
 
-def hash_number(key: Column | str, salt: str = "") -> Column:
-    """A 32-bit number that depends on ``salt`` and the key value alone; a missing key counts
-    as an empty one, so that its row is not lost."""
+def hash_text(key: Column | str, salt: str = "") -> Column:
+    """32 hexadecimal digits that depend on ``salt`` and the key value alone; a missing key
+    counts as an empty one, so that its row is not lost."""
     text = (F.col(key) if isinstance(key, str) else key).cast("string")
-    salted = F.concat(F.lit(salt), F.coalesce(text, F.lit("")))
-    return F.conv(F.substring(F.md5(salted), 1, 8), 16, 10).cast("bigint")
+    return F.md5(F.concat(F.lit(salt), F.coalesce(text, F.lit(""))))
+
+
+def hash_number(key: Column | str, salt: str = "") -> Column:
+    """The number that the first eight digits of the hash are, of 32 bits."""
+    return F.conv(F.substring(hash_text(key, salt), 1, 8), 16, 10).cast("bigint")
 
 
 def hash_percent(key: Column | str, salt: str = "") -> Column:

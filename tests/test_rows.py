@@ -212,7 +212,26 @@ def test_folds_cover_all_rows(spark):
     assert set(sizes) == {0, 1} and sum(sizes.values()) == 2000 and min(sizes.values()) > 800
 
 
-def test_random_split_is_a_partition(spark):
-    a, b = random_split(spark.range(2000), [0.99, 0.01], 10)
-    left, right = {r.id for r in a.collect()}, {r.id for r in b.collect()}
-    assert not left & right and left | right == set(range(2000))
+def test_random_split_is_exact_in_any_layout(spark):
+    for weights, sizes in ([0.99, 0.01], [1980, 20]), ([1, 0, 2, 3], [333, 0, 667, 1000]):
+        found = []
+        for df in (spark.range(2000), spark.range(0, 2000, 1, 3).orderBy("id")):
+            parts = random_split(df, weights, 10, "id")
+            found.append([{r.id for r in part.collect()} for part in parts])
+        assert found[0] == found[1] and [len(p) for p in found[0]] == sizes
+        assert set().union(*found[0]) == set(range(2000))
+    other = random_split(spark.range(2000), [0.99, 0.01], 11, "id")[1]
+    assert {r.id for r in other.collect()} != {
+        r.id for r in random_split(spark.range(2000), [0.99, 0.01], 10, "id")[1].collect()}
+
+
+def test_random_split_of_repeated_and_missing_keys(spark):
+    df = spark.createDataFrame([(1,)] * 50 + [(None,)] * 30 + [(n,) for n in range(2, 22)],
+                               "id int")
+    parts = [part.groupBy("id").count().collect() for part in random_split(df, [1, 1], 3, "id")]
+    keys = [{r["id"] for r in part} for part in parts]
+    assert not keys[0] & keys[1] and len(keys[0] | keys[1]) == 22
+    assert sum(r["count"] for part in parts for r in part) == 100
+    assert [p.count() for p in random_split(df.limit(0), [1, 1], 3, "id")] == [0, 0]
+    with pytest.raises(ValueError, match="weights"):
+        random_split(df, [0, 0], 3, "id")
