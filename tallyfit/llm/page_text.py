@@ -6,16 +6,21 @@ subsequence of their lines is what the template of the site repeats, and is dele
 an article share lines too, so lines inside an article or main element are not deleted for
 being shared; marked menus, adverts, comments and the like are left out also where no
 neighbour shares them.
+
+Pages are parsed before anything is shuffled. What neighbours exchange are hashes of lines; what
+comes back to a page are flags, one for each of its lines.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Hashable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,6 +96,7 @@ def page_lines(page: str) -> list[tuple[str, int]]:
     lines: list[tuple[str, int]] = []
     words: list[str] = []
     opened: list[tuple[str, int]] = []  # name and zone of each open element
+    names: Counter[str] = Counter()  # of open elements, so that stray ends cost no search
     zone, at, end = OUTSIDE, 0, len(page)
 
     def close_block() -> None:
@@ -126,18 +132,21 @@ def page_lines(page: str) -> list[tuple[str, int]]:
         elif name in _CELL:
             words.append(" ")
         if closing:
-            place = next((n for n in range(len(opened) - 1, -1, -1) if opened[n][0] == name), -1)
-            if place >= 0:
+            if names[name]:
+                place = len(opened) - 1
+                while opened[place][0] != name:
+                    place -= 1
                 before = opened[place - 1][1] if place else OUTSIDE
                 if before != zone:
                     close_block()
+                names.subtract(n for n, _ in opened[place:])
                 del opened[place:]
                 zone = before
             continue
         if name in _VOID:
             continue
         if name in _BLOCK and opened and opened[-1][0] == "p":
-            opened.pop()  # a paragraph ends where the next block begins
+            names[opened.pop()[0]] -= 1  # a paragraph ends where the next block begins
             before = opened[-1][1] if opened else OUTSIDE
             zone = before
         new = zone
@@ -151,12 +160,13 @@ def page_lines(page: str) -> list[tuple[str, int]]:
         # Inline elements matter only where they are left out; many are never closed.
         if name in _BLOCK or new != zone:
             opened.append((name, new))
+            names[name] += 1
             zone = new
     close_block()
     return lines
 
 
-def shared_lines(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def shared_lines(a: Sequence[Hashable], b: Sequence[Hashable]) -> tuple[np.ndarray, np.ndarray]:
     """Which lines of ``a`` and of ``b`` belong to their longest common subsequence; rows of
     the table are held as bit strings."""
     in_a, in_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
@@ -170,7 +180,7 @@ def shared_lines(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
     if tail:
         in_a[-tail:] = in_b[-tail:] = True
     rest_a, rest_b = a[start:len(a) - tail], b[start:len(b) - tail]
-    places: dict[str, int] = {}
+    places: dict[Hashable, int] = {}
     for n, line in enumerate(rest_b):
         places[line] = places.get(line, 0) | 1 << n
     full = (1 << len(rest_b)) - 1
@@ -191,29 +201,47 @@ def shared_lines(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return in_a, in_b
 
 
-def main_text(lines: list[tuple[str, int]], neighbour: list[tuple[str, int]] | None) -> str:
-    """What is left of a page: the lines inside its article if it has one; else its lines
+def kept_lines(sizes: np.ndarray, zones: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Which lines of a page stay: those inside its article if it has one; else its lines
     outside left-out elements that its neighbour does not share. A page without an article that
     shares nearly all of its text is a copy of its neighbour and keeps it."""
-    inside = [text for text, zone in lines if zone == INSIDE]
-    own = [text for text, zone in lines if zone == OUTSIDE]
-    shared = np.zeros(len(lines), bool)
-    if neighbour:
-        shared, _ = shared_lines([t for t, _ in lines], [t for t, _ in neighbour])
-    if inside:
+    inside, own = zones == INSIDE, zones == OUTSIDE
+    if inside.any():
         # The template's lines stand outside the article, so its own lines all stay.
-        return "\n".join(inside)
-    kept = [t for (t, zone), s in zip(lines, shared) if zone == OUTSIDE and not s]
-    if sum(map(len, kept)) < (1 - COPY_SHARE) * sum(map(len, own)):
-        kept = own
-    return "\n".join(kept)
+        return inside
+    kept = own & ~shared
+    return own if sizes[kept].sum() < (1 - COPY_SHARE) * sizes[own].sum() else kept
+
+
+_LISTS = "page {}, url string, mark long, hashes binary, sizes binary, zones binary"
+
+
+def _listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Hash, size and zone of every line of each page."""
+    for batch in batches:
+        rows = []
+        for row in batch.itertuples(index=False):
+            lines = page_lines(row.html)
+            hashes = [xxhash.xxh3_64_intdigest(text) for text, _ in lines]
+            rows.append((row.page, row.url, row.mark, np.array(hashes, np.uint64).tobytes(),
+                         np.array([len(t) for t, _ in lines], np.int32).tobytes(),
+                         np.array([z for _, z in lines], np.int8).tobytes()))
+        yield pd.DataFrame(rows, columns=["page", "url", "mark", "hashes", "sizes", "zones"])
+
+
+def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame({
+            "page": batch["page"], "url": batch["url"], "mark": batch["mark"],
+            "lines": [[text for text, _ in page_lines(page)] for page in batch["html"]]})
 
 
 def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Flags of kept lines; pages of a pair come one after the other."""
     held: list[tuple] = []  # pages of the group that the next batch may go on with
 
     def settle(group: list[tuple]) -> list[tuple]:
-        lines = [page_lines(row.html) for row in group]
+        lines = [np.frombuffer(row.hashes, np.uint64).tolist() for row in group]
         first: dict[int, int] = {}
         for n, row in enumerate(group):
             first.setdefault(row.place, n)
@@ -221,9 +249,12 @@ def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row, own in zip(group, lines):
             near = first.get(row.place - 1) if row.place % 2 else first.get(row.place + 1)
             near = first.get(row.place - 1) if near is None else near
-            neighbour = lines[near] if near is not None and row.host else None
-            text = main_text(own, neighbour)
-            results.append((row.page, row.url, text))
+            shared = np.zeros(len(own), bool)
+            if near is not None and row.host:
+                shared, _ = shared_lines(own, lines[near])
+            flags = kept_lines(np.frombuffer(row.sizes, np.int32),
+                               np.frombuffer(row.zones, np.int8), shared)
+            results.append((row.page, row.url, row.mark, flags.tolist()))
         return results
 
     for batch in batches:
@@ -233,9 +264,9 @@ def _difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 done += settle(held)
                 held = []
             held.append(row)
-        yield pd.DataFrame(done, columns=["page", "url", "text"])
+        yield pd.DataFrame(done, columns=["page", "url", "mark", "kept"])
     if held:
-        yield pd.DataFrame(settle(held), columns=["page", "url", "text"])
+        yield pd.DataFrame(settle(held), columns=["page", "url", "mark", "kept"])
 
 
 def extract_main_text(
@@ -249,14 +280,17 @@ def extract_main_text(
 
     A pair is two neighbours in order of path, URL and key within a host, the last one of an
     odd number joins the pair before; so a host of any size spreads over many small groups.
+    Pages themselves are not shuffled; their text is, once, when it meets its flags.
     """
     host = F.lower(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
     path = F.regexp_extract("url", r"^(?:(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1)
-    pages = df.select(
-        F.col(key).alias("page"), F.col(url).alias("url"),
-        F.coalesce(F.col(page), F.lit("")).alias("html"),
-    )
-    keys = pages.select("page", "url").distinct().select(
+    whole = F.coalesce(F.col(page), F.lit(""))
+    pages = df.select(F.col(key).alias("page"), F.col(url).alias("url"),
+                      F.xxhash64(whole).alias("mark"), whole.alias("html"))
+    kind = dict(pages.dtypes)["page"]
+    listed = pages.mapInPandas(_listed, _LISTS.format(kind))
+    lists = write_once(listed.dropDuplicates(["page", "url", "mark"]), "lines")
+    keys = lists.select("page", "url").distinct().select(
         "page", "url", F.coalesce(host, F.lit("")).alias("host"),
         F.coalesce(path, F.lit("")).alias("path"),
     )
@@ -276,13 +310,19 @@ def extract_main_text(
         ),
         "paired",
     )
-    placed = pages.join(
-        paired, F.col("page").eqNullSafe(F.col("_page")) & F.col("url").eqNullSafe(F.col("_url"))
-    ).select("page", "url", "html", "host", "place", "pair")
-    grouped = placed.repartition("host", "pair").sortWithinPartitions("host", "pair", "place")
-    kind = dict(pages.dtypes)["page"]
-    texts = grouped.mapInPandas(_difference, f"page {kind}, url string, text string")
-    return texts.select(
+    same = F.col("page").eqNullSafe(F.col("_page")) & F.col("url").eqNullSafe(F.col("_url"))
+    placed = lists.join(paired, same).drop("_page", "_url")
+    grouped = placed.repartition("host", "pair").sortWithinPartitions(
+        "host", "pair", "place", "mark")
+    decided = grouped.mapInPandas(
+        _difference, f"page {kind}, url string, mark long, kept array<boolean>")
+    decided = write_once(decided, "decided").select(
+        F.col("page").alias("_page"), F.col("url").alias("_url"), F.col("mark").alias("_mark"),
+        "kept")
+    texts = pages.mapInPandas(_texts, f"page {kind}, url string, mark long, lines array<string>")
+    flagged = texts.join(decided, same & (F.col("mark") == F.col("_mark")))
+    chosen = F.filter("lines", lambda line, n: F.get("kept", n))
+    return flagged.select("page", "url", F.array_join(chosen, "\n").alias("text")).select(
         F.col("page").alias(key), F.col("url").alias(url), "text",
         F.char_length("text").cast("long").alias("n_chars"),
     )
