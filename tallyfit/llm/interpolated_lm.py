@@ -18,6 +18,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +28,8 @@ from .texts import remainder, shuffled_place, whole
 
 PARTITIONS = 5
 DELETED = 10  # one in so many training documents is deleted from the counts of the fit
-BATCH_BYTES = 12 << 20
-BUCKET_KEYS = 500_000
+BATCH_BYTES = 4 << 20
+BUCKET_KEYS = 1_000_000
 STEPS = 8  # histogram steps for each factor e
 ROUNDS = 200
 SEED = 42
@@ -105,6 +106,16 @@ def unpacked(content: bytes, count: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(content, 4 * count, codec="zstd", asbytes=True), np.int32)
 
 
+def small_packed(counts: np.ndarray) -> bytes:
+    """Counts of 64 bits, most of which are small; a frequent word of a large table has more than
+    32 bits hold."""
+    return zstandard.compress(np.ascontiguousarray(counts, np.int64).tobytes())
+
+
+def small_unpacked(content: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(content), np.int64)
+
+
 class Batch:
     """One encoded batch with its distinct words and bigrams in the order in which it asks."""
 
@@ -138,7 +149,7 @@ class Batch:
         found = {}
         for gram in (1, 2):
             own = rows[rows["gram"] == gram].sort_values("bucket")
-            sent = np.frombuffer(b"".join(own[column]), np.uint32)
+            sent = np.concatenate([small_unpacked(c) for c in own[column]])
             found[gram] = np.empty(len(self.keys[gram]), np.int64)
             found[gram][self.order[gram]] = sent
         return found
@@ -185,14 +196,14 @@ def _answer(rows: pd.DataFrame) -> pd.DataFrame:
     sizes = np.array([len(k) for k in keys])
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
     number = np.concatenate(counts).astype(np.float64)
-    total = np.bincount(place, number, len(distinct)).astype(np.uint32)
+    total = np.bincount(place, number, len(distinct)).astype(np.int64)
     gone = np.repeat(rows["deleted"].to_numpy(bool), sizes)
-    kept = total - np.bincount(place[gone], number[gone], len(distinct)).astype(np.uint32)
+    kept = total - np.bincount(place[gone], number[gone], len(distinct)).astype(np.int64)
     ends = np.cumsum(sizes)
     answers = rows[["gram", "bucket", "batch", "deleted"]].copy()
     own = [place[e - n:e] for e, n in zip(ends, sizes)]
-    answers["total"] = [total[p].tobytes() for p in own]
-    answers["kept"] = [kept[p].tobytes() if d else b"" for p, d in zip(own, rows["deleted"])]
+    answers["total"] = [small_packed(total[p]) for p in own]
+    answers["kept"] = [small_packed(kept[p]) if d else b"" for p, d in zip(own, rows["deleted"])]
     answers["n_total"] = [int((total > 0).sum())] + [0] * (len(rows) - 1)
     answers["n_kept"] = [int((kept > 0).sum())] + [0] * (len(rows) - 1)
     return answers
@@ -288,6 +299,9 @@ def score_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     and without training documents every token has the uniform estimate.
 
     Counts cover all training documents. Words and bigrams are told apart by 64-bit hashes.
+
+    A task holds one batch of about ``BATCH_BYTES`` of text, or one longer text, and its answers;
+    or what all batches ask of one bucket, ``BUCKET_KEYS`` keys at most. Counts have 64 bits.
     """
     part = remainder("key", PARTITIONS)
     rows = df.select(F.col(key).alias("key"), whole(text).alias("text")).select(
