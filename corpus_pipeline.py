@@ -42,11 +42,15 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their shard and slot; shards are of equal size and few bytes move."""
-    sized = docs.withColumns({
-        "size": (F.octet_length(F.coalesce("text", F.lit(""))) + 16).cast("long"),
-        "old_shard": F.pmod(F.xxhash64("text"), F.lit(OLD_SHARDS)).cast("int"),
-    })
-    return reshard(sized, "doc_id", "size", "old_shard")
+    sized = docs.select(
+        F.struct("*").alias("document"), "doc_id", F.xxhash64("text").alias("mark"),
+        (F.octet_length(F.coalesce("text", F.lit(""))) + 16).cast("long").alias("size"),
+        F.pmod(F.xxhash64("text"), F.lit(OLD_SHARDS)).cast("int").alias("old_shard"),
+    )
+    placed = reshard(sized, "doc_id", "size", "old_shard", text="mark")
+    kept = [F.col(f"document.`{c}`").alias(c) for c in docs.columns if c not in ("shard", "slot")]
+    added = [c for c in ("size", "old_shard") if c not in docs.columns]
+    return placed.select(*kept, *added, "shard", "slot")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -95,10 +95,13 @@ def plan_moves(
     ``(old, [(minus size, place, shard), ...])``: a run starts at the named document, in order
     of falling size and rising place, and goes to ``shard``.
 
-    A shard keeps as much as its share allows, starting with its largest documents. The rest is
-    what the solver moves, with capacities that make all shards equal. Numbers on the driver
-    follow the shard counts, not the documents.
+    Rows with equal size and place are one: they stay or move together, on the side of a cut on
+    which their middle lies. A shard keeps as much as its share allows, starting with its largest
+    documents. The rest is what the solver moves, with capacities that make all shards equal.
+    Numbers on the driver follow the shard counts, not the documents.
     """
+    rows = rows.groupBy("old", (-F.col("size")).alias("minus"), "place").agg(
+        F.sum("size").alias("size"))
     sizes = {r[0]: int(r[1]) for r in rows.groupBy("old").agg(F.sum("size")).collect()}
     if not sizes:
         return []
@@ -108,8 +111,7 @@ def plan_moves(
     for shard in old:
         base[shard] = so_far
         so_far += sizes[shard]
-    ordered = rows.select("old", (-F.col("size")).alias("minus"), "place", "size")
-    placed = with_earlier_totals(ordered, ["old", "minus", "place"], {"before": "size"})
+    placed = with_earlier_totals(rows, ["old", "minus", "place"], {"before": "size"})
     start = F.create_map(*[F.lit(x) for pair in base.items() for x in pair])
     twice = 2 * (F.col("before") - start[F.col("old")]) + F.col("size")  # its middle, doubled
     stays = (F.col("old") < shards) & (twice * shards <= 2 * total)
@@ -160,39 +162,38 @@ def reshard(
 
     ``old_shard`` holds integers from 0; shards from ``shards`` on are emptied. A null size
     counts as 0 and a null old shard as 0. A document larger than a shard's share stays whole.
-    Rows that are equal in key and text move together. An empty table gives an empty result.
-    Columns of ``df`` that are called ``shard`` or ``slot`` are replaced. The order of slots
-    depends on the key and the text alone.
+    Rows with equal ``text`` and size that are in one old shard move together, so equal texts
+    stay together if they were; without a column of that name, rows with equal keys do. An empty
+    table gives an empty result. Columns of ``df`` that are called ``shard`` or ``slot`` are
+    replaced; other names are kept, whatever they are. The order of slots depends on the key and
+    the text alone.
     """
-    marked = df.drop("shard", "slot").withColumns({
-        "_old": F.coalesce(F.col(old_shard).cast("int"), F.lit(0)),
-        "_size": F.coalesce(F.col(size).cast("long"), F.lit(0)),
-        "_place": shuffled_place(SEED, key, text) if text in df.columns
-        else shuffled_place(SEED, key),
-    })
-    runs = plan_moves(
-        marked.select(F.col("_old").alias("old"), F.col("_size").alias("size"),
-                      F.col("_place").alias("place")),
-        shards, cost,
+    by = [text] if text in df.columns else [key]
+    own = [c for c in df.columns if c not in ("shard", "slot")]
+    marked = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"),
+        F.coalesce(F.col(old_shard).cast("int"), F.lit(0)).alias("old"),
+        F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("size"),
+        shuffled_place(SEED, *by).alias("place"),
+        shuffled_place(SEED, key, *by).alias("inside"),
     )
+    runs = plan_moves(marked.select("old", "size", "place"), shards, cost)
     table = df.sparkSession.createDataFrame(
-        runs, "_old int, _runs array<struct<minus: long, place: long, shard: int>>"
+        runs, "old int, runs array<struct<minus: long, place: long, shard: int>>"
     )
-    own = F.struct((-F.col("_size")).alias("minus"), F.col("_place").alias("place"))
-    begun = F.filter("_runs", lambda r: F.struct(r["minus"], r["place"]) <= own)
+    at = F.struct((-F.col("size")).alias("minus"), F.col("place").alias("place"))
+    begun = F.filter("runs", lambda r: F.struct(r["minus"], r["place"]) <= at)
     # One row for each old shard, so the table is broadcast whatever the documents are.
-    placed = marked.join(F.broadcast(table), "_old").withColumn(
-        "shard", F.element_at(begun, -1)["shard"]
-    ).drop("_runs")
+    placed = marked.join(F.broadcast(table), "old").select(
+        "row", F.element_at(begun, -1)["shard"].alias("shard"), "place", "inside")
     counts = {r[0]: r[1] for r in placed.groupBy("shard").count().collect()}
     first, so_far = [F.lit(-1), F.lit(0).cast("long")], 0
     for shard in sorted(counts):
         first += [F.lit(shard), F.lit(so_far).cast("long")]
         so_far += counts[shard]
-    placed = with_position(placed.withColumnRenamed("_place", "_at"), ["shard", "_at"], "_slot")
-    return placed.withColumn("slot", F.col("_slot") - F.create_map(*first)[F.col("shard")]).drop(
-        "_old", "_size", "_at", "_slot"
-    )
+    placed = with_position(placed, ["shard", "place", "inside"], "position")
+    slot = F.col("position") - F.create_map(*first)[F.col("shard")]
+    return placed.select("row.*", "shard", slot.alias("slot"))
 
 
 def rewrite_affected(

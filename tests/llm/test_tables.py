@@ -59,6 +59,37 @@ def test_reshard(spark, tmp_path):
     assert reshard(df.limit(0), "doc_id", "n", "old").count() == 0
 
 
+def test_equal_texts_share_a_shard(spark):
+    pick = np.random.default_rng(4)
+    rows = [(i, f"{'x' * 40}{n % 100:03d}", n % 100) for i, n in enumerate(
+        pick.permutation(1000).tolist())]
+    rows += [(2000 + i, "one large group of copies" * 3, 7) for i in range(500)]
+    names = "place size inside row runs position minus begun _old _size _place _runs".split()
+    df = spark.createDataFrame(rows, "doc_id long, text string, old int")
+    df = df.withColumn("n", F.length("text").cast("long"))
+    df = df.withColumns({name: F.lit(name) for name in names})
+    found = reshard(df, "doc_id", "n", "old", shards=5)
+    assert found.columns == [*df.columns, "shard", "slot"]
+    table = found.toPandas()
+    assert len(table) == len(rows) and all((table[name] == name).all() for name in names)
+    groups = table.groupby("text")
+    assert groups["shard"].nunique().max() == 1 and len(groups) == 101
+    sizes = table.groupby("shard")["n"].sum()
+    total, largest = table["n"].sum(), 500 * 75
+    assert len(sizes) == 5 and sizes.max() <= max(largest + 10 * 43, total / 5 + 10 * 43)
+    assert sizes.drop(table[table["doc_id"] >= 2000]["shard"].iloc[0]).max() < largest
+
+
+def test_fewest_bytes_move(spark):
+    rows = [(i, f"t{i:04d}", 1, i % 2) for i in range(1200)] + [
+        (2000 + i, f"u{i:04d}", 1, 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long, old int")
+    table = reshard(df, "doc_id", "n", "old", shards=4).toPandas()
+    # 600, 600 and 300 units become 375 each: 450 have to leave the first two, and no more.
+    assert table.groupby("shard")["n"].sum().tolist() == [375] * 4
+    assert table[table["shard"] != table["old"]]["n"].sum() == 450
+
+
 def test_targets_and_quotas():
     assert capped_targets([100, 100, 1], [1, 2, 3]) == pytest.approx([66, 132, 3])
     quotas = [50, 3, 0, 17]
@@ -142,6 +173,9 @@ def test_pipeline(spark):
     from tallyfit.sources import load
 
     documents = load(spark, FOLDER, "documents").withColumn("size", F.lit("extra"))
+    sharded = corpus_pipeline.sharding_stage(spark, documents, FOLDER)
+    assert sharded.where("size <> 'extra'").count() == 0 and sharded.columns == [
+        *documents.columns, "old_shard", "shard", "slot"]
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality", "near_copies", "decontamination", "mixing", "sharding"]
     before = documents
