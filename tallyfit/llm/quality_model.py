@@ -274,7 +274,7 @@ def fit_quality(
     by a hash of the key; fewer are all taken. The sample is the only thing the driver sees.
 
     Several labels of one key count by their mean, from a half up as 1; null labels and labels
-    of other keys count for nothing, null texts as empty.
+    of other keys count for nothing, null texts as empty. Of a key's texts the smallest counts.
     """
     named = labels.select(F.col(key).alias("_key"), F.col(label).alias("_label"))
     known = named.where(
@@ -285,10 +285,11 @@ def fit_quality(
     part = min(1.0, sample_rows / max(1, total))
     known = known.withColumn("_at", shuffled_place(SEED, "_key"))
     taken = known.where(F.col("_at") <= int(part * ((1 << 63) - 1024)))
-    # Never more than about ``sample_rows`` keys, whatever the tables hold.
-    rows = documents.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(
-        F.broadcast(taken), "_key"
-    ).select("_at", "_text", "_label").toArrow()
+    # Never more than about ``sample_rows`` texts: one for each key, however often it occurs.
+    found = documents.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(
+        F.broadcast(taken), "_key")
+    rows = found.groupBy("_key", "_at", "_label").agg(F.min("_text").alias("_text")).select(
+        "_at", "_text", "_label").toArrow()
     rows = rows.sort_by([("_at", "ascending"), ("_text", "ascending")]).combine_chunks()
     texts = rows.column("_text").combine_chunks()
     return QualityModel(texts, rows.column("_label").to_numpy())

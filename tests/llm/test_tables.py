@@ -129,6 +129,12 @@ def test_mix(spark):
     again = mix_sources(df.repartition(5)).withColumn("turns", F.size("draws")).toPandas()
     assert dict(zip(again.doc_id, again.turns)) == dict(zip(table.doc_id, table.turns))
     assert mix_sources(df.limit(0)).count() == 0
+    names = "_place _source _passes _end _extra _blocks _shards row turn draw shard".split()
+    other = mix_sources(df.withColumns({n: F.lit(n) for n in names}))
+    found = other.withColumn("turns", F.size("draws")).toPandas()
+    assert all((found[n] == n).all() for n in names)
+    assert dict(zip(found.doc_id, found.turns)) == dict(zip(table.doc_id, table.turns))
+    assert mixed_rows(other).where("row <> 'row' OR turn <> 'turn'").count() == 0
 
 
 def test_leaks(spark):
