@@ -193,7 +193,7 @@ def reshard(
         so_far += counts[shard]
     placed = with_position(placed, ["shard", "place", "inside"], "position")
     slot = F.col("position") - F.create_map(*first)[F.col("shard")]
-    return placed.select("row.*", "shard", slot.alias("slot"))
+    return placed.select("row", "shard", slot.alias("slot")).select("row.*", "shard", "slot")
 
 
 def rewrite_affected(
