@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import limits
@@ -42,14 +42,16 @@ class CategoryIndex:
     """Maps values of several columns to their index in the table it was fitted on.
 
     Columns with few values use one string indexer, which keeps its labels on the driver.
-    Columns beyond ``limits.DRIVER_LABELS`` values keep them in a table and are joined.
+    Columns beyond ``limits.DRIVER_LABELS`` values keep them together in one table and are
+    joined, all of them at once.
     """
 
     columns: list[str]
     suffix: str = "Index"
     handle_invalid: str = "keep"
     small: StringIndexerModel | None = None
-    large: dict[str, DataFrame] = field(default_factory=dict)
+    large: list[str] = field(default_factory=list)
+    lookup: DataFrame | None = None
     sizes: dict[str, int] = field(default_factory=dict)
 
     @property
@@ -59,7 +61,7 @@ class CategoryIndex:
     def fit(self, df: DataFrame) -> CategoryIndex:
         counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in self.columns]).first()
         few = [c for c in self.columns if counts[c] <= limits.DRIVER_LABELS]
-        many = [c for c in self.columns if c not in few]
+        self.large = [c for c in self.columns if c not in few]
         if few:
             indexer = StringIndexer(
                 inputCols=few,
@@ -67,16 +69,35 @@ class CategoryIndex:
                 handleInvalid=self.handle_invalid,
             )
             self.small = indexer.fit(df)
-        if many:
-            table = write_once(category_index(df, many), "category-index")
-            for c in many:
-                self.large[c] = table.where(F.col("column") == c).select(
-                    F.col("value").alias("_value"),
-                    F.col("index").cast("double").alias(c + self.suffix),
-                )
-                self.sizes[c] = self.large[c].count()
+        if self.large:
+            table = write_once(category_index(df, self.large), "category-index")
+            numbers = F.array_position(F.lit(self.large), F.col("column")) - 1
+            self.lookup = table.select(
+                _entry(numbers, F.col("value")).alias("_entry"), F.col("index").alias("_index")
+            )
+            found = {r["column"]: r["count"] for r in table.groupBy("column").count().collect()}
+            self.sizes = {c: found.get(c, 0) for c in self.large}
         return self
 
+    def _joined(self, df: DataFrame) -> DataFrame:
+        """Add the indexes of all large columns, null where a value has none.
+
+        The table is written once with a number for each row. Its large columns, one below the
+        other, meet the lookup table in one join, which copes with heavy values; the indexes
+        of a row come together by its number and go back beside it. No two rows share a number.
+        """
+        saved = write_once(df.withColumn("_row", F.monotonically_increasing_id()), "to-index")
+        cells = [
+            F.struct(F.lit(n).alias("_n"),
+                     _entry(F.lit(n), F.col(c).cast("string")).alias("_entry"))
+            for n, c in enumerate(self.large)
+        ]
+        long = saved.select("_row", F.inline(F.array(*cells))).where(F.col("_entry").isNotNull())
+        found = attach_lookup(long, self.lookup, "_entry", "_index")
+        place = [F.max(F.when(F.col("_n") == n, F.col("_index"))).cast("double")
+                 .alias(c + self.suffix) for n, c in enumerate(self.large)]
+        return saved.join(found.groupBy("_row").agg(*place), "_row", "left").drop("_row")
+
     def _checked(self, df: DataFrame, column: str) -> DataFrame:
         """Treat the values without an index, and describe the index column to later stages,
         as the string indexer does for columns with few values."""
@@ -86,6 +107,8 @@ class CategoryIndex:
         elif self.handle_invalid == "error":
             unseen = F.raise_error(F.lit(f"unseen value in {column}"))
             df = df.withColumn(name, F.when(F.col(name).isNull(), unseen).otherwise(F.col(name)))
+        else:
+            df = df.withColumn(name, F.coalesce(name, F.lit(float(size))))
         count = size + 1 if self.handle_invalid == "keep" else size
         nominal = {"type": "nominal", "name": name, "num_vals": count}
         return df.withMetadata(name, {"ml_attr": nominal})
@@ -95,15 +118,18 @@ class CategoryIndex:
         index (``keep``), take their row away (``skip``) or are an error (``error``)."""
         if self.small is not None:
             df = self.small.transform(df)
-        for c, lookup in self.large.items():
-            keyed = df.withColumn("_value", F.col(c).cast("string"))
-            default = float(self.sizes[c]) if self.handle_invalid == "keep" else None
-            joined = attach_lookup(keyed, lookup, "_value", c + self.suffix, default)
-            # One join per column: written down so that the next one does not redo it.
-            df = self._checked(write_once(joined.drop("_value"), "indexed"), c)
+        if self.large:
+            df = self._joined(df)
+        for c in self.large:
+            df = self._checked(df, c)
         return df
 
 
+def _entry(number: Column, value: Column) -> Column:
+    """A column number and a value as one key; null without a value."""
+    return F.concat(number.cast("string"), F.lit(":"), value)
+
+
 def vector_positions(df: DataFrame, key: str, vector: str) -> DataFrame:
     """``(key, position, value)`` for the entries of a vector that are not zero.
 

@@ -91,3 +91,28 @@ def test_both_ways_treat_unseen_values_alike(rows, spark, monkeypatch, handle_in
                             for r in vectors.collect()))
     assert found[0] == found[1]
     assert len(found[0]) == {"keep": 4, "skip": 2, "error": 2}[handle_invalid]
+
+
+def test_many_large_columns_are_joined_at_once(rows, spark, monkeypatch):
+    """One write for all columns; a heavy value, a null and an unseen one in each."""
+    from tallyfit.operators import encoding
+
+    monkeypatch.setattr(limits, "DRIVER_LABELS", 0)
+    monkeypatch.setattr(limits, "BROADCAST_ROWS", 2)
+    columns = [f"c{n}" for n in range(5)]
+    data = [(i, *[None if i == n else "a:%d" % (0 if i % 3 else i * (n + 1)) for n in range(5)])
+            for i in range(60)]
+    seen = literal_table(spark, data, "id int, " + ", ".join(c + " string" for c in columns))
+    index = CategoryIndex(columns).fit(seen)
+    written = []
+    write = encoding.write_once
+    monkeypatch.setattr(
+        encoding, "write_once", lambda df, name: written.append(name) or write(df, name))
+    later = seen.withColumnRenamed("id", "key").limit(59)
+    got = {r.key: tuple(r)[6:] for r in index.transform(later).collect()}
+    assert written == ["to-index"] and len(got) == 59
+    plain = StringIndexer(inputCols=columns, outputCols=[c + "I" for c in columns],
+                          handleInvalid="keep").fit(seen)
+    assert got == {r.key: tuple(r)[6:] for r in plain.transform(later).collect()}
+    empty = index.transform(later.limit(0))
+    assert empty.collect() == [] and empty.columns == later.columns + index.output_columns
