@@ -11,7 +11,15 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixed_values import BALANCED_LOGISTIC, LINEAR_GRID, SPARSE_LOGISTIC, TEXT_SEED
+from ..fixed_values import (
+    BALANCED_LOGISTIC,
+    LINEAR_GRID,
+    SPARSE_LOGISTIC,
+    TABULAR_SEED,
+    TEXT_FOLDS,
+    TEXT_GRID_FEATURES,
+    TEXT_SEED,
+)
 from ..functions import with_tokens
 from ..operators import (
     CategoryIndex,
@@ -36,6 +44,7 @@ from ..plans import (
     logistic_objective,
     loss_history,
     model_weights,
+    out_of_fold,
     predict_house_prices,
     tune_text_logistic,
     tuning_results,
@@ -43,7 +52,7 @@ from ..plans import (
 )
 from ..plans.vector_classification import with_vector
 from ..sources import load, spread, text_set, write_once
-from .registry import query, sql_percent
+from .registry import query, sql_hash, sql_percent
 from .text_queries import TOKENS_SQL
 
 _TEXT = f"""WITH t AS (SELECT doc_id, toxic, {sql_percent('doc_id')} AS bucket
@@ -413,16 +422,84 @@ def tuned_parts(train: DataFrame):
     )
 
 
-@query("tune_train_validation")
+# The optimum of an elastic net has no closed form. SQL finds it by accelerated proximal
+# gradient steps from second moments, for the rows to fit and for all rows (``whole``).
+_PRICES = f"""WITH RECURSIVE
+    p AS (SELECT p_partkey AS k, p_brand, p_type, p_size, p_retailprice AS y,
+                 {sql_percent('p_partkey')} AS bucket,
+                 {sql_percent('p_partkey', str(TABULAR_SEED))} >= 80 AS rest FROM part),
+    t AS (SELECT * FROM p WHERE bucket < 80 AND p_size < 50),
+    x AS (SELECT k, 'b' || p_brand AS f, 1::double AS v FROM p
+          UNION ALL SELECT k, 't' || p_type, 1 FROM p UNION ALL SELECT k, 's', p_size FROM p),
+    o AS (SELECT whole, k, y FROM t, (VALUES (true), (false)) s(whole) WHERE whole OR NOT rest),
+    n AS (SELECT whole, count(*) AS n, avg(y) AS ym, stddev_pop(y) AS ys FROM o GROUP BY whole),
+    m AS (SELECT whole, f, n, ym, ys, sum(v) / n AS xm, sqrt(sum(v * v) / n - xm * xm) AS xs,
+                 sum(v * y) / n AS xy, row_number() OVER (PARTITION BY whole ORDER BY f) AS j
+          FROM o JOIN x USING (k) JOIN n USING (whole) GROUP BY whole, f, n, ym, ys),
+    g AS (SELECT whole, a.f AS f, b.f AS h, sum(a.v * b.v) AS xx
+          FROM o JOIN x a USING (k) JOIN x b USING (k) GROUP BY whole, a.f, b.f),
+    c AS (SELECT *, 0.1 * 0.5 / ys AS pen FROM m, (VALUES (true), (false)) i(fit)),
+    q AS (SELECT a.whole, a.fit, a.j, a.pen,
+                 (a.xy - CASE WHEN a.fit THEN a.xm * a.ym ELSE 0 END) / (a.xs * a.ys) AS r,
+                 list((coalesce(xx, 0) / a.n - CASE WHEN a.fit THEN a.xm * b.xm ELSE 0 END)
+                      / (a.xs * b.xs) + CASE WHEN a.j = b.j THEN a.pen ELSE 0 END
+                      ORDER BY b.j) AS row
+          FROM c a JOIN c b ON a.whole = b.whole AND a.fit = b.fit
+          LEFT JOIN g ON g.whole = a.whole AND g.f = a.f AND g.h = b.f
+          GROUP BY a.whole, a.fit, a.j, a.pen, a.xy, a.xm, a.ym, a.xs, a.ys),
+    s AS (SELECT whole, fit, any_value(pen) AS pen, list(row ORDER BY j) AS qs,
+                 list(r ORDER BY j) AS rs,
+                 max(list_sum(list_transform(row, lambda z: abs(z)))) AS top FROM q GROUP BY whole, fit),
+    w AS (SELECT 0 AS step, whole, fit, pen, qs, rs, top,
+                 (sqrt(top) - sqrt(pen)) / (sqrt(top) + sqrt(pen)) AS beta,
+                 list_transform(rs, lambda z: 0::double) AS old,
+                 list_transform(rs, lambda z: 0::double) AS w FROM s
+          UNION ALL
+          SELECT step + 1, whole, fit, pen, qs, rs, top, beta, w,
+                 list_transform(range(1, len(w) + 1), lambda i:
+                     sign(u[i] - (list_dot_product(qs[i], u) - rs[i]) / top)
+                     * greatest(abs(u[i] - (list_dot_product(qs[i], u) - rs[i]) / top)
+                                - pen / top, 0))
+          FROM (SELECT *, list_transform(range(1, len(w) + 1),
+                                         lambda i: w[i] + beta * (w[i] - old[i])) AS u
+                FROM w WHERE step < 4000)),
+    z AS (SELECT c.*, w[j] * ys / xs AS weight FROM c
+          JOIN (SELECT whole, fit, w FROM w WHERE step = 4000) USING (whole, fit)),
+    b AS (SELECT whole, fit, CASE WHEN fit THEN any_value(ym) - sum(weight * xm) ELSE 0 END AS base
+          FROM z GROUP BY whole, fit),
+    d AS (SELECT b.whole, b.fit, p.k, p.y, p.bucket, p.rest AND p.bucket < 80 AND p.p_size < 50
+                 AS measured, any_value(base) + coalesce(sum(weight * v), 0) AS predicted
+          FROM p JOIN x USING (k) CROSS JOIN b
+          LEFT JOIN z ON z.whole = b.whole AND z.fit = b.fit AND z.f = x.f
+          GROUP BY b.whole, b.fit, p.k, p.y, p.bucket, measured),
+    e AS (SELECT fit, sqrt(avg((y - predicted) ** 2)) AS metric FROM d
+          WHERE measured AND NOT whole GROUP BY fit)"""
+
+
+@query(
+    "tune_train_validation",
+    f"""{_PRICES}
+        SELECT CASE WHEN fit THEN 0 ELSE 1 END::bigint AS combination, parameter,
+               CASE parameter WHEN 'regParam' THEN '0.1' WHEN 'elasticNetParam' THEN '0.5'
+                              ELSE fit::varchar END AS setting, round(metric, 4) AS metric
+        FROM e, (VALUES ('regParam'), ('fitIntercept'), ('elasticNetParam')) v(parameter)""",
+)
 def tune_train_validation(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = part_sets(spark, folder)
-    return tuning_results(spark, tuned_parts(train).tuned)
+    results = tuning_results(spark, tuned_parts(train).tuned)
+    return results.withColumn("metric", F.round("metric", 4))
 
 
-@query("house_price_predictions")
+@query(
+    "house_price_predictions",
+    f"""{_PRICES}
+        SELECT k AS p_partkey, round(predicted, 3) AS p_retailprice FROM d
+        WHERE bucket >= 80 AND whole AND fit = (SELECT fit FROM e ORDER BY metric LIMIT 1)""",
+)
 def house_price_predictions(spark: SparkSession, folder: str) -> DataFrame:
     train, test = part_sets(spark, folder)
-    return predict_house_prices(tuned_parts(train), test, target="p_retailprice")
+    priced = predict_house_prices(tuned_parts(train), test, target="p_retailprice")
+    return priced.withColumn("p_retailprice", F.round("p_retailprice", 3))
 
 
 @query("tune_cross_validation")
@@ -431,6 +508,27 @@ def tune_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
     return tuning_results(spark, tuned)
 
 
+# Every document is scored once, by a model that did not see it; each of its words is counted
+# at every width of the grid.
+
+
+@query(
+    "out_of_fold_rows",
+    f"""SELECT doc_id, toxic::double AS label, ({sql_hash('doc_id')} % {TEXT_FOLDS})::int AS fold,
+               len({TOKENS_SQL})::double AS words
+        FROM documents JOIN labels USING (doc_id)""",
+)
+def out_of_fold_rows(spark: SparkSession, folder: str) -> DataFrame:
+    tuned = tune_text_logistic(
+        text_set(spark, folder, heavy=True), "doc_id", parallelism=4, settings=BALANCED_LOGISTIC)
+    sums = [F.aggregate(vector_to_array(f"counts{w}"), F.lit(0.0), lambda a, x: a + x)
+            for w in TEXT_GRID_FEATURES]
+    words = tuned.counts.select("doc_id", F.when(
+        (sums[0] == sums[1]) & (sums[1] == sums[2]), sums[0]).alias("words"))
+    scored = out_of_fold(tuned).where(F.col("prediction").isin(0.0, 1.0))
+    return scored.select("doc_id", "label", "fold").join(words, "doc_id")
+
+
 @query("pca_logreg")
 def pca_logreg(spark: SparkSession, folder: str) -> DataFrame:
     vectors = with_vector(load(spark, folder, "embeddings"), "embedding")

@@ -22,6 +22,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def sql_percent(key: str) -> str:
+def sql_hash(key: str, salt: str = "") -> str:
+    """SQL twin of ``functions.hash_number``."""
+    return f"('0x' || substr(md5('{salt}' || {key}::varchar), 1, 8))::bigint"
+
+
+def sql_percent(key: str, salt: str = "") -> str:
     """SQL twin of ``functions.hash_percent``."""
-    return f"(('0x' || substr(md5({key}::varchar), 1, 8))::bigint % 100)"
+    return f"({sql_hash(key, salt)} % 100)"

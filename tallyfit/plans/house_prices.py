@@ -9,8 +9,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -28,14 +27,14 @@ from ..fixed_values import (
     TABULAR_SEED,
     TUNING_PARALLELISM,
 )
+from ..functions.text import hash_percent
 from ..operators.cleaning import fill_numbers, keep_below
 from ..operators.encoding import CategoryIndex
 from ..operators.profiling import drop_columns_missing_in
 from ..operators.splitting import split_by_key
 from ..sources.scratch import write_once
 from .fit_size import tree_depth
-
-NORMAL_EQUATION_WIDTH = 4096  # up to here a partial result holds a matrix, beyond it vectors
+from .linear_grid import GRAM_WIDTH, LinearWeights, TunedLinear, combinations_of, tune_linear
 
 
 @dataclass
@@ -46,7 +45,7 @@ class HousePrices:
     numbers: list[str]
     index: CategoryIndex
     vectors: PipelineModel
-    tuned: TrainValidationSplitModel
+    tuned: TunedLinear
 
     def features(self, df: DataFrame) -> DataFrame:
         return self.vectors.transform(fill_numbers(self.index.transform(df), columns=self.numbers))
@@ -82,6 +81,8 @@ def fit_house_prices(
     column took away are left out, and values seen only later get an index of their own. Each
     combination of ``grid`` is fitted on about ``train_ratio`` of the rows and measured on the
     rest, a split that follows from the key and ``seed`` alone; the best is fitted on all rows.
+    Up to ``GRAM_WIDTH`` features all of this takes one scan and ends at the optimum; wider
+    rows are fitted once for each combination, with ``LINEAR_MAX_ITER`` iterations.
     If no row is left for measuring, or none for fitting, there is nothing to tune: an error.
     """
     train = train.where(F.col(target).isNotNull() & ~F.isnan(F.col(target).cast("double")))
@@ -104,46 +105,41 @@ def fit_house_prices(
     vectors = Pipeline(stages=[encoder, assembler]).fit(indexed)
     rows = vectors.transform(indexed).select(key, F.col(target).alias("label"), "features")
     rows = write_once(rows, "house-vectors")
-    parts = split_by_key(rows, key, round(100 * train_ratio), salt=str(seed))
-
+    percent = round(100 * train_ratio)
     first = rows.first()
     if first is None:
         raise ValueError(f"no row has a value for {target}")
-    width = first["features"].size
-    partial = 4 * width * width if width <= NORMAL_EQUATION_WIDTH else 48 * width
+    if first["features"].size <= GRAM_WIDTH:
+        held_out = hash_percent(key, str(seed)) >= percent
+        tuned = tune_linear(rows, held_out, grid)
+    else:
+        parts = split_by_key(rows, key, percent, salt=str(seed))
+        tuned = _fit_each(rows, *parts, grid, first["features"].size, parallelism)
+    return HousePrices(key, numbers, index, vectors, tuned)
+
+
+def _fit_each(
+    rows: DataFrame, train: DataFrame, rest: DataFrame, grid: dict, width: int, parallelism: int
+) -> TunedLinear:
+    """What ``tune_linear`` does, by one fit for each combination; tasks hold vectors only."""
+    if train.isEmpty() or rest.isEmpty():
+        raise ValueError("tuning needs rows to fit and rows to measure on")
     regression = LinearRegression(
-        maxIter=LINEAR_MAX_ITER, aggregationDepth=tree_depth(rows, partial)
-    )
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder.addGrid(regression.getParam(name), values)
-    tuner = TrainValidationSplit(
-        estimator=regression,
-        estimatorParamMaps=builder.build(),
-        evaluator=RegressionEvaluator(metricName="rmse"),
-        trainRatio=train_ratio,
-        parallelism=parallelism,
-        seed=seed,
-    )
-    return HousePrices(key, numbers, index, vectors, _tune(tuner, rows, *parts))
-
+        maxIter=LINEAR_MAX_ITER, solver="l-bfgs", aggregationDepth=tree_depth(rows, 48 * width))
+    evaluator = RegressionEvaluator(metricName="rmse")
+    combinations = combinations_of(grid)
 
-def _tune(
-    tuner: TrainValidationSplit, rows: DataFrame, train: DataFrame, rest: DataFrame
-) -> TrainValidationSplitModel:
-    """What ``tuner.fit(rows)`` does, on the two parts given instead of random ones."""
-    regression, evaluator = tuner.getEstimator(), tuner.getEvaluator()
-    grid = tuner.getEstimatorParamMaps()
+    def fit(part: DataFrame, settings: dict) -> LinearRegressionModel:
+        return regression.copy({regression.getParam(k): v for k, v in settings.items()}).fit(part)
 
-    def measure(combination: dict) -> float:
-        model = regression.fit(train, combination)
-        return evaluator.evaluate(model.transform(rest))
+    def measure(settings: dict) -> float:
+        return evaluator.evaluate(fit(train, settings).transform(rest))
 
-    with ThreadPool(min(tuner.getParallelism(), len(grid))) as pool:
-        metrics = pool.map(measure, grid)
-    best = min(range(len(grid)), key=metrics.__getitem__)
-    model = TrainValidationSplitModel(regression.fit(rows, grid[best]), metrics)
-    return tuner._copyValues(model)
+    with ThreadPool(min(parallelism, len(combinations))) as pool:
+        metrics = pool.map(measure, combinations)
+    best = fit(rows, combinations[min(range(len(metrics)), key=metrics.__getitem__)])
+    weights = LinearWeights(best.coefficients.toArray(), best.intercept)
+    return TunedLinear(combinations, metrics, weights)
 
 
 def predict_house_prices(

@@ -9,9 +9,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegressionModel, RandomForestClassificationModel
-from pyspark.ml.tuning import CrossValidatorModel, TrainValidationSplitModel
 from pyspark.sql import DataFrame, SparkSession
 
+from .linear_grid import TunedLinear
+from .text_tuning import TunedLogistic
+
 
 def coefficients(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:
     """``(class, feature, value)``; feature -1 is the intercept of the class."""
@@ -40,17 +42,12 @@ def forest_summary(spark: SparkSession, model: RandomForestClassificationModel)
     )
 
 
-def tuning_results(
-    spark: SparkSession, model: CrossValidatorModel | TrainValidationSplitModel
-) -> DataFrame:
+def tuning_results(spark: SparkSession, model: TunedLinear | TunedLogistic) -> DataFrame:
     """``(combination, parameter, setting, metric)`` for each tried parameter combination."""
-    metrics = (
-        model.avgMetrics if isinstance(model, CrossValidatorModel) else model.validationMetrics
-    )
     rows = [
-        (i, param.name, str(setting).lower(), float(metric))
-        for i, (combination, metric) in enumerate(zip(model.getEstimatorParamMaps(), metrics))
-        for param, setting in combination.items()
+        (i, name, str(setting).lower(), float(metric))
+        for i, (settings, metric) in enumerate(zip(model.combinations, model.metrics))
+        for name, setting in settings.items()
     ]
     return spark.createDataFrame(
         rows, "combination bigint, parameter string, setting string, metric double"

@@ -8,9 +8,8 @@ stages, so new text passes through exactly what the training text did.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
     IDF,
     HashingTF,
@@ -22,7 +21,6 @@ from pyspark.ml.feature import (
     Tokenizer,
     VectorSlicer,
 )
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 
 from ..fixed_values import (
@@ -30,16 +28,11 @@ from ..fixed_values import (
     REMOVED_CHARACTERS,
     SPARSE_LOGISTIC,
     TEXT_FEATURES,
-    TEXT_FOLDS,
-    TEXT_GRID_FEATURES,
-    TEXT_GRID_REG,
     TEXT_SEED,
-    TUNING_PARALLELISM,
 )
 from ..functions.text import stop_words
 from ..operators.encoding import vector_positions
 from ..operators.selection import best_features, chi_squared
-from ..operators.splitting import fold_by_key
 from ..operators.vector_categories import fit_vector_indexer
 from ..sources.scratch import write_once
 from .fit_size import merge_partitions, tree_depth
@@ -52,7 +45,7 @@ COUNT_BYTES = 8
 SUMMARY_BYTES = 48
 
 
-def _word_stages(text: str, clean: bool) -> list[Transformer]:
+def word_stages(text: str, clean: bool) -> list[Transformer]:
     """From text to ``words``; ``clean`` removes punctuation and stop words."""
     if not clean:
         return [
@@ -75,7 +68,7 @@ def text_counts_stages(
 ) -> list[Transformer]:
     """The stages from text to hashed term counts in ``rawFeatures``; none needs a fit."""
     hashing = HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=num_features)
-    return [*_word_stages(text, clean), hashing]
+    return [*word_stages(text, clean), hashing]
 
 
 def _fit_idf(counts: DataFrame, num_features: int) -> IDFModel:
@@ -152,43 +145,3 @@ def _telling_terms(counts: DataFrame, label: str, width: int, terms: int) -> lis
     scored = chi_squared(entries, counts.select(label), "position", label)
     found = best_features(scored, "position", terms).collect()
     return sorted(r["position"] for r in found) or [0]
-
-
-def tune_text_logistic(
-    train: DataFrame,
-    key: str,
-    text: str = "text",
-    label: str = "label",
-    clean: bool = False,
-    num_features: list[int] = TEXT_GRID_FEATURES,
-    reg_params: list[float] = TEXT_GRID_REG,
-    folds: int = TEXT_FOLDS,
-    parallelism: int = TUNING_PARALLELISM,
-    settings: dict = SPARSE_LOGISTIC,
-) -> CrossValidatorModel:
-    """Cross-validate width and penalty by area under the ROC curve.
-
-    Words are made once and written down. Hashing and document frequencies belong to the
-    tuned pipeline and are fitted inside each fold. Folds follow the key, so they do not
-    depend on the layout of the table.
-    """
-    words = PipelineModel(_word_stages(text, clean)).transform(train)
-    words = write_once(fold_by_key(words, key, folds).select(label, "words", "fold"), "words")
-    hashing = HashingTF(inputCol="words", outputCol="rawFeatures")
-    idf = IDF(inputCol="rawFeatures", outputCol="features")
-    logistic = LogisticRegression(labelCol=label, **settings)
-    grid = (
-        ParamGridBuilder()
-        .addGrid(hashing.numFeatures, num_features)
-        .addGrid(logistic.regParam, reg_params)
-        .build()
-    )
-    tuner = CrossValidator(
-        estimator=Pipeline(stages=[hashing, idf, logistic]),
-        estimatorParamMaps=grid,
-        evaluator=BinaryClassificationEvaluator(labelCol=label),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    return tuner.fit(words)

@@ -169,7 +169,7 @@ def test_rows_without_a_price_teach_nothing(spark):
     rows = spark.createDataFrame(rows)
     priced = fit_house_prices(rows.where("SalePrice is not null"))
     model = fit_house_prices(rows.repartition(5))
-    assert model.tuned.validationMetrics == pytest.approx(priced.tuned.validationMetrics, rel=1e-6)
+    assert model.tuned.metrics == pytest.approx(priced.tuned.metrics, rel=1e-6)
     assert predict_house_prices(model, rows).where("SalePrice < 50000").count() == 0
     with pytest.raises(ValueError, match="SalePrice"):
         fit_house_prices(rows.where("SalePrice is null"))
