@@ -116,13 +116,15 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     found = find_personal_data(load(spark, folder, "documents"))
 
-    def count(kind: str):
-        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    def count(kind: str, spans: str = "base"):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
     return found.select(
         "doc_id", *[count(kind).alias(f"n_{kind}") for kind in BASE],
         F.sha2(written(F.col("base")), 256).alias("base_sha256"),
         written(F.concat("base", "added")).alias("spans"),
+        (F.size("base") + F.size("added")).cast("long").alias("n_spans"),
+        *[count(kind, "added").alias(f"n_added_{kind}") for kind in ("card", "phone", "secret")],
     )
 
 
