@@ -23,7 +23,7 @@ HEADLINE = [
     "covariance_matrix", "pca_project", "per_label_metrics", "weighted_metrics",
     "binary_auc", "linreg_simple", "logreg_predict", "random_forest_predict", "pca_logreg",
     "tune_train_validation", "tune_cross_validation", "attach_by_position", "random_split",
-    "term_selection", "forest_walk", "pca_spectrum", "logreg_groups", "logreg_objective",
+    "term_selection", "forest_walk", "house_price_predictions", "pca_spectrum", "logreg_groups", "logreg_objective",
 ]
 
 
