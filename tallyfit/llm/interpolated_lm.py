@@ -173,12 +173,12 @@ def _requests(buckets: int):
                     order = batch.order[gram]
                     counts = batch.counted(gram, learnt)[order]
                     keys, bucket = batch.keys[gram][order], batch.bucket[gram][order]
-                    edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+                    starts = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] + np.uint64(1)))
                     small = counts.astype(np.uint8) if counts.max(initial=0) < 256 else counts
                     rows += [
-                        (gram, n, row.batch, row.deleted, keys[s:e].tobytes(),
+                        (gram, int(bucket[s]), row.batch, row.deleted, keys[s:e].tobytes(),
                          small[s:e].tobytes())
-                        for n, (s, e) in enumerate(zip(edges, edges[1:])) if e > s
+                        for s, e in zip(starts, np.append(starts[1:], len(bucket)))
                     ]
                 yield pd.DataFrame(
                     rows, columns=["gram", "bucket", "batch", "deleted", "keys", "counts"]
