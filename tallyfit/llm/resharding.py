@@ -96,9 +96,11 @@ def plan_moves(
     of falling size and rising place, and goes to ``shard``.
 
     Rows with equal size and place are one: they stay or move together, on the side of a cut on
-    which their middle lies. A shard keeps as much as its share allows, starting with its largest
-    documents. The rest is what the solver moves, with capacities that make all shards equal.
-    Numbers on the driver follow the shard counts, not the documents.
+    which their middle lies. The flow runs from all bytes of each old shard to equal capacities;
+    an arc back to the same shard is free, so what flows along it stays, starting with the
+    largest documents. Whole documents end a little beside that amount, so what is left over is
+    solved once more against the capacities that are left. Numbers on the driver follow the
+    shard counts, not the documents.
     """
     rows = rows.groupBy("old", (-F.col("size")).alias("minus"), "place").agg(
         F.sum("size").alias("size"))
@@ -114,14 +116,18 @@ def plan_moves(
     placed = with_earlier_totals(rows, ["old", "minus", "place"], {"before": "size"})
     start = F.create_map(*[F.lit(x) for pair in base.items() for x in pair])
     twice = 2 * (F.col("before") - start[F.col("old")]) + F.col("size")  # its middle, doubled
-    stays = (F.col("old") < shards) & (twice * shards <= 2 * total)
+    price = [[0.0 if i == j else 1.0 if cost is None else float(cost[i][j])
+              for j in range(shards)] for i in old]
+    full = cheapest_transfers([sizes[i] for i in old], equal_fill([0] * shards, total), price)
+    keeps = [F.lit(x) for n, i in enumerate(old) if i < shards for x in (i, int(full[n][i]))]
+    stays = F.lit(False)
+    if keeps:
+        stays = (F.col("old") < shards) & (twice <= 2 * F.create_map(*keeps)[F.col("old")])
     kept = {r[0]: int(r[1] or 0) for r in placed.where(stays).groupBy("old").agg(
         F.sum("size")).collect()}
     want = equal_fill([kept.get(j, 0) for j in range(shards)], total)
     rest = [sizes[i] - kept.get(i, 0) for i in old]
-    if cost is not None:
-        cost = [cost[i] for i in old]
-    flow = cheapest_transfers(rest, want, cost)
+    flow = cheapest_transfers(rest, want, price)
     run = F.when(stays, -1)
     targets = {}
     for i, shard in enumerate(old):
