@@ -23,7 +23,9 @@ SPAN = 11
 SHORT_SPAN = 8
 AROUND = 8  # tokens that are compared on either side of a window
 SHARE = 0.8  # of the compared tokens that must agree
-WINDOWS = 20_000  # of the benchmark, that are broadcast at once
+WINDOWS = 20_000  # of the benchmark, that are broadcast with their tokens
+MARK_BITS = 27  # a bitmap of 2 to this power marks the keys of a larger benchmark
+MARKED = 1 << 23  # windows that are marked in one bitmap
 SEPARATOR = r"[^\p{L}\p{N}]+"
 
 
@@ -58,6 +60,25 @@ def benchmark_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _meetings(hashed: DataFrame, windows: DataFrame, total: int) -> list[DataFrame]:
+    """Document windows beside the benchmark windows with the same key, each meeting once."""
+    if total <= WINDOWS:
+        return [hashed.join(F.broadcast(windows), "key")]
+    place = F.pmod(F.col("key"), F.lit(1 << MARK_BITS))
+    word, bit = F.shiftright(place, 6), F.pmod(place, F.lit(64)).cast("int")
+    chunks = -(-total // MARKED)
+    met = []
+    for chunk in range(chunks):
+        part = windows.where(F.pmod(F.xxhash64("key"), F.lit(chunks)) == chunk)
+        # One row for each 64 bits at most, whatever the benchmark is.
+        marks = part.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(
+            F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+        marked = hashed.withColumn("word", word).join(F.broadcast(marks), "word").where(
+            F.getbit("bits", bit) == 1)
+        met.append(marked.drop("word", "bits").join(part, "key"))
+    return met
+
+
 def find_leaks(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -76,8 +97,9 @@ def find_leaks(
     rows that repeat a key are one document; a null key or item is a value like any other.
     Other columns are not read and empty tables give an empty result.
 
-    The benchmark is broadcast in parts of bounded size, with one scan of the documents each,
-    so its size is not limited and no hit is lost.
+    A benchmark of up to ``WINDOWS`` windows is broadcast. A larger one is met by a shuffle join
+    of the document windows that a bitmap of its keys lets through, with one scan of the documents
+    for each ``MARKED`` windows; its size is not limited and no hit is lost.
     """
     windows = write_once(benchmark_windows(benchmark, item, text), "windows")
     total, short = windows.agg(F.count("*"), F.count(F.when(~F.col("full"), 1))).first()
@@ -95,11 +117,8 @@ def find_leaks(
     before = F.least(F.col("at"), F.lit(AROUND))
     near = F.slice("own", F.col("at") - before + 1, before + SPAN + AROUND)
     hashed = hashed.select("_key", "key", before.alias("before"), near.alias("near"))
-    chunks = max(1, -(-total // WINDOWS))
     found = []
-    for chunk in range(chunks):
-        part = windows.where(F.pmod(F.xxhash64("item", "key"), F.lit(chunks)) == chunk)
-        met = hashed.join(F.broadcast(part), "key")
+    for met in _meetings(hashed, windows, total):
         shift = F.col("before") - F.col("lead")
         equal = F.size(F.filter(
             F.arrays_zip("zone", F.sequence(F.lit(0), F.size("zone") - 1).alias("n")),

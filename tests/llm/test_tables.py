@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tallyfit.llm import decontamination
 from tallyfit.llm.catalog import QUERIES
 from tallyfit.llm.decontamination import find_leaks, without_leaks
 from tallyfit.llm.resharding import cheapest_transfers, equal_fill, reshard, rewrite_affected
@@ -92,6 +93,15 @@ def test_fewest_bytes_move(spark):
     assert table[table["shard"] != table["old"]]["n"].sum() == 450
 
 
+def test_dear_transfers_are_avoided(spark):
+    rows = [(i, f"t{i:04d}", 1, i % 2) for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long, old int")
+    cost = [[0, 1, 1, 9], [1, 0, 9, 1]]  # shard 0 is far from 3 and shard 1 from 2
+    table = reshard(df, "doc_id", "n", "old", shards=4, cost=cost).toPandas()
+    assert table.groupby(["old", "shard"])["n"].sum().to_dict() == {
+        (0, 0): 300, (0, 2): 300, (1, 1): 300, (1, 3): 300}
+
+
 def test_targets_and_quotas():
     assert capped_targets([100, 100, 1], [1, 2, 3]) == pytest.approx([66, 132, 3])
     quotas = [50, 3, 0, 17]
@@ -177,6 +187,23 @@ def test_leaks_equal_brute_force(spark):
     assert whole <= {(r.doc_id, r.item_id) for r in found.collect()}
 
 
+@pytest.mark.parametrize("marked", [1 << 23, 100])
+def test_large_benchmark_finds_the_same(spark, monkeypatch, marked):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    bench = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    # An item that stands there a hundred times shares each of its windows a hundred times.
+    copies = bench.orderBy("item_id").limit(1).withColumn(
+        "item_id", F.explode(F.expr("sequence(100001L, 100100L)")))
+    bench = bench.unionByName(copies)
+    whole = {tuple(r) for r in find_leaks(documents, bench).collect()}
+    monkeypatch.setattr(decontamination, "WINDOWS", 10)
+    monkeypatch.setattr(decontamination, "MARKED", marked)
+    found = find_leaks(documents, bench)
+    assert "Python" not in found._jdf.queryExecution().toString()
+    assert {tuple(r) for r in found.collect()} == whole and whole
+    assert find_leaks(documents.limit(0), bench).count() == 0
+
+
 def test_pipeline(spark):
     from tallyfit.sources import load
 
