@@ -29,13 +29,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{scratch_folder(spark)}/tallyfit-{name}-{uuid.uuid4().hex}"
 
 
-def write_once(df: DataFrame, name: str) -> DataFrame:
+def write_once(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Used before a result is read several times, so that the work behind it is done once
-    and survives the loss of executors.
+    and survives the loss of executors. ``compression`` is ``none`` where values are packed
+    already; the session's codec is used if it is not given.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
