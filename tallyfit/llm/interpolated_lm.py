@@ -36,7 +36,7 @@ SEED = 42
 END = np.uint64(0)  # the end of a document, which also stands before its first word
 
 _KINDS = "batch long, deleted boolean, keys array<{}>, held binary, starts binary, " \
-    "tokens binary, hashes binary, n_tokens long"
+    "tokens binary, hashes binary, n_tokens long, learnt long"
 
 
 def _encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,11 +69,14 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = rows.column("held").to_numpy(zero_copy_only=False).astype(np.int8)
         keys = pa.array([rows.column("key").to_pylist()], pa.list_(rows.schema.field("key").type))
         blobs = [held, starts.astype(np.int64), packed(tokens), hashes]
+        learnt = int(np.diff(starts)[held == 0].sum())
+        pa.default_memory_pool().release_unused()
         return pa.RecordBatch.from_arrays(
             [pa.array([number]), pa.array([deleted]), keys,
              *[pa.array([bytes(b)], pa.binary()) for b in blobs],
-             pa.array([len(tokens)], pa.int64())],
-            names=["batch", "deleted", "keys", "held", "starts", "tokens", "hashes", "n_tokens"],
+             pa.array([len(tokens)], pa.int64()), pa.array([learnt], pa.int64())],
+            names=["batch", "deleted", "keys", "held", "starts", "tokens", "hashes", "n_tokens",
+                   "learnt"],
         )
 
     for batch in batches:
@@ -310,10 +313,11 @@ def score_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
             "deleted"),
     )
     kind = dict(rows.dtypes)["key"]
-    encoded = write_once(rows.mapInArrow(_encoded, _KINDS.format(kind)), "encoded")
+    encoded = write_once(
+        rows.mapInArrow(_encoded, _KINDS.format(kind)), "encoded", compression="none")
     size = encoded.agg(F.sum("n_tokens")).first()[0] or 0
     buckets = max(4, -(-size // BUCKET_KEYS))
-    asked = encoded.mapInPandas(
+    asked = encoded.drop("keys", "learnt").mapInPandas(
         _requests(buckets),
         "gram int, bucket int, batch long, deleted boolean, keys binary, counts binary",
     )
@@ -327,18 +331,18 @@ def score_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
     words = answers.where("gram = 1").agg(F.sum("n_total"), F.sum("n_kept")).first()
     all_words, kept_words = int(words[0] or 0), int(words[1] or 0)
-    seen = encoded.mapInPandas(_sizes, "learnt long, deleted boolean").groupBy("deleted").agg(
-        F.sum("learnt")).collect()
+    seen = encoded.groupBy("deleted").agg(F.sum("learnt")).collect()
     learnt = {r[0]: int(r[1] or 0) for r in seen}
     all_tokens, kept_tokens = sum(learnt.values()), learnt.get(False, 0)
-    cells = _cogrouped(encoded.where("deleted"), answers.where("deleted"), "kept").applyInPandas(
+    gone = encoded.where("deleted").drop("keys", "learnt")
+    cells = _cogrouped(gone, answers.where("deleted"), "kept").applyInPandas(
         _histogram(buckets, kept_tokens, kept_words),
         "context long, pair long, word long, n long",
     )
     # At most one row for each cell of the histogram, which does not grow with the documents.
     total = cells.groupBy("context", "pair", "word").agg(F.sum("n")).collect()
     weights = learn_weights(np.array(total, np.int64).reshape(-1, 4), 1 / (kept_words + 1))
-    scored = _cogrouped(encoded, answers, "total").applyInPandas(
+    scored = _cogrouped(encoded.drop("learnt"), answers, "total").applyInPandas(
         _score(buckets, all_tokens, all_words, weights),
         f"key {kind}, held_out boolean, n_tokens long, n_known long, base_score double, "
         "score double",
@@ -349,13 +353,6 @@ def score_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
 
 
-def _sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in batches:
-        learnt = [int(np.diff(np.frombuffer(s, np.int64))[~np.frombuffer(h, np.bool_)].sum())
-                  for s, h in zip(frame["starts"], frame["held"])]
-        yield pd.DataFrame({"learnt": learnt, "deleted": frame["deleted"]})
-
-
 def _cogrouped(encoded: DataFrame, answers: DataFrame, column: str):
     sent = answers.select("batch", "gram", "bucket", column)
     return encoded.groupBy("batch").cogroup(sent.groupBy("batch"))
