@@ -172,14 +172,53 @@ def vector_index(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "dimension int, categories bigint")
 
 
-@query("pca_project")
+# A covariance matrix that is squared over and over, at a trace of 1, tends to the projection on
+# its first component; the component is taken away and the next one found in the same way.
+SQUARINGS = 24
+
+
+def components_sql(count: int) -> str:
+    """Common table expressions ``v`` of entries and ``e0``, ``e1``, ... of components, each
+    with a positive largest entry."""
+    parts = ["""v AS MATERIALIZED (
+                  SELECT vec_id, unnest(embedding)::double AS x,
+                         generate_subscripts(embedding, 1) - 1 AS i FROM embeddings),
+                c0 AS MATERIALIZED (
+                  SELECT a.i, b.i AS j, covar_samp(a.x, b.x) AS c
+                  FROM v a JOIN v b USING (vec_id) GROUP BY a.i, b.i)"""]
+    for n in range(count):
+        last = f"c{n}"
+        for step in range(SQUARINGS):
+            parts.append(f"""c{n}_{step} AS MATERIALIZED (
+                  SELECT i, j, c / sum(CASE WHEN i = j THEN c END) OVER () AS c
+                  FROM (SELECT a.i, b.j, sum(a.c * b.c) AS c
+                        FROM {last} a JOIN {last} b ON a.j = b.i GROUP BY a.i, b.j))""")
+            last = f"c{n}_{step}"
+        both = f"FROM c{n} c JOIN e{n} a ON a.i = c.i JOIN e{n} b ON b.i = c.j"
+        parts.append(f"""e{n} AS MATERIALIZED (
+                  SELECT i, c / sqrt(sum(c * c) OVER ()) AS e FROM {last}
+                  WHERE j = (SELECT arg_max(i, c) FROM {last} WHERE i = j)),
+                c{n + 1} AS MATERIALIZED (
+                  SELECT c.i, c.j, c.c - a.e * b.e * (SELECT sum(a.e * c.c * b.e) {both}) AS c
+                  {both})""")
+    return ", ".join(parts)
+
+
+@query(
+    "pca_project",
+    f"WITH {components_sql(COMPONENTS)} SELECT vec_id, "
+    + ", ".join(f"round(sum(x * e{n}.e), 6) AS pc{n}" for n in range(COMPONENTS))
+    + " FROM v " + " ".join(f"JOIN e{n} ON e{n}.i = v.i" for n in range(COMPONENTS))
+    + " GROUP BY vec_id",
+)
 def pca_project(spark: SparkSession, folder: str) -> DataFrame:
     vectors = with_vector(load(spark, folder, "embeddings"), "embedding")
-    projected = project_components(vectors, "features", COMPONENTS).transform(vectors)
-    parts = projected.select("vec_id", vector_to_array("pcaFeatures").alias("p"))
-    return parts.select(
-        "vec_id", *[F.round(F.get("p", F.lit(i)), 6).alias(f"pc{i}") for i in range(COMPONENTS)]
-    )
+    model = project_components(vectors, "features", COMPONENTS)
+    # A component is defined but for its sign: here its largest entry is positive.
+    signs = [1.0 if max(axis, key=abs) > 0 else -1.0 for axis in model.pc.toArray().T.tolist()]
+    parts = model.transform(vectors).select("vec_id", vector_to_array("pcaFeatures").alias("p"))
+    return parts.select("vec_id", *[
+        F.round(F.get("p", F.lit(i)) * sign, 6).alias(f"pc{i}") for i, sign in enumerate(signs)])
 
 
 # The sums of the first three powers of all variances along components are traces of powers
