@@ -231,6 +231,27 @@ def test_thresholds_by_kind(spark):
     assert steps == {"card": 10, "ip": None}
 
 
+def test_all_candidates_teach_and_calibrate(spark, monkeypatch):
+    seen = {}
+
+    def lowest(judged):
+        seen.update({(r.kind, r.label): r.n for r in judged.groupBy("kind", "label").agg(
+            F.count("*").alias("n")).collect()})
+        return plain(judged)
+
+    plain = personal_data._lowest_steps
+    monkeypatch.setattr(personal_data, "_lowest_steps", lowest)
+    df = spark.range(240, numPartitions=4).select(F.col("id").alias("doc_id"), F.concat(
+        F.repeat(F.lit("1.2.3.4 or 300.2.3.4, "), 60),
+        F.when(F.col("id") % 10 == 0, "paid by 4111 1111 1111 1111").otherwise("")).alias("text"))
+    found = find_personal_data(df)
+    assert found.agg(F.sum(F.size("base"))).first()[0] == 240 * 60 + 24
+    # More than 20,000 candidates, each of which is judged, those of a rare kind too. Beside a card
+    # number each 300 is a candidate for one.
+    assert seen == {("ip", 1.0): 14400, ("ip", 0.0): 14400, ("card", 1.0): 24,
+                    ("card", 0.0): 1440}
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "to a@b.cd and 1.2.3.4!")], "doc_id long, text string")
     found = df.join(find_personal_data(df), "doc_id")
