@@ -35,7 +35,7 @@ from ..operators.encoding import vector_positions
 from ..operators.selection import best_features, chi_squared
 from ..operators.vector_categories import fit_vector_indexer
 from ..sources.scratch import write_once
-from .fit_size import merge_partitions, tree_depth
+from .fit_size import bound_partitions, merge_partitions, tree_depth
 
 # Hashed terms that a forest looks at, those that tell most about the label.
 FOREST_TERMS = 4096
@@ -114,7 +114,7 @@ def fit_text_forest(
     the result is the forest. Text is hashed as widely as for regression. A forest keeps
     statistics for every feature, bin and open node, so it is fitted on the ``terms`` hashed
     terms whose presence has the largest chi-squared statistic with the label; a vector slicer
-    carries the choice to new text.
+    carries the choice to new text. A task holds at most ``limits.TASK_BYTES`` of binned rows.
     """
     stages = text_counts_stages(text, clean, num_features)
     counts = _counted(train, stages, label)
@@ -126,9 +126,10 @@ def fit_text_forest(
     labels = StringIndexer(inputCol=label, outputCol="indexedLabel", handleInvalid="keep")
     labels = labels.fit(vectors)
     indexer = fit_vector_indexer(vectors, "keptFeatures", "indexedFeatures", MAX_CATEGORIES)
+    indexed = indexer.transform(labels.transform(bound_partitions(vectors, indexer.numFeatures)))
     forest = RandomForestClassifier(
         labelCol="indexedLabel", featuresCol="indexedFeatures", seed=seed
-    ).fit(indexer.transform(labels.transform(vectors)))
+    ).fit(indexed)
     names = IndexToString(
         inputCol="prediction",
         outputCol="predictedLabel",

@@ -7,9 +7,12 @@ import pytest
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorIndexer
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
+from tallyfit import limits
 from tallyfit.operators import best_features, chi_squared, few_values, fit_vector_indexer
 from tallyfit.plans import fit_text_forest, forest_nodes, walk_forest
+from tallyfit.plans.fit_size import BIN_BYTES, POINT_BYTES, bound_partitions
 
 
 def test_chi_squared_equals_the_full_table(spark):
@@ -107,3 +110,41 @@ def test_forest_keeps_the_telling_terms(spark):
     model = fit_text_forest(train.limit(0).unionByName(train.limit(1)).withColumn(
         "text", train["text"].substr(0, 0)), terms=3)
     assert model.stages[-2].getNumTrees == 20
+
+
+def partition_sizes(df):
+    return [len(p) for p in df.rdd.glom().collect()]
+
+
+def test_long_partitions_are_dealt_out(spark, monkeypatch):
+    # One long partition beside short ones: the longest counts, not the average.
+    df = spark.range(1000, numPartitions=1).union(spark.range(1000, 1030, numPartitions=3))
+    df = df.withColumn("twin", F.when(F.col("id") % 3 > 0, F.lit(None).cast("long")))
+    monkeypatch.setattr(limits, "TASK_BYTES", 1000 * (50 * BIN_BYTES + POINT_BYTES))
+    assert bound_partitions(df, 50) is df
+    assert bound_partitions(df.limit(0), 50).count() == 0
+    monkeypatch.setattr(limits, "TASK_BYTES", 300 * (50 * BIN_BYTES + POINT_BYTES))
+    dealt = bound_partitions(df, 50)
+    sizes = partition_sizes(dealt)
+    assert sum(sizes) == 1030 and len(sizes) == 4 and max(sizes) <= 300
+    assert sorted(r.id for r in dealt.collect()) == list(range(1030))
+    monkeypatch.setattr(limits, "TASK_BYTES", 1)
+    assert bound_partitions(df.limit(5), 50).count() == 5
+
+
+def test_forest_tasks_hold_few_rows(spark, monkeypatch):
+    seen = []
+
+    def fit(forest, df, plain=RandomForestClassifier.fit):
+        seen.append(partition_sizes(df.select("indexedFeatures")))
+        return plain(forest, df)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", fit)
+    rows = [("a b c" if n % 2 else "a d", float(n % 2)) for n in range(400)]
+    train = spark.createDataFrame(rows, "text string, label double").coalesce(1)
+    whole = fit_text_forest(train, terms=4)
+    monkeypatch.setattr(limits, "TASK_BYTES", 50 * (4 * BIN_BYTES + POINT_BYTES), raising=False)
+    dealt = fit_text_forest(train, terms=4)
+    assert seen[0] == [400] and sum(seen[1]) == 400 and len(seen[1]) == 8 and max(seen[1]) <= 51
+    for model in (whole, dealt):
+        assert model.transform(train).where("prediction <> indexedLabel").count() == 0
