@@ -8,10 +8,10 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorIndexer, VectorIndexerModel
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.scratch import write_once
+from ..sources.scratch import new_folder, write_once
 
 _PARTIAL = "position int, value double, many boolean, stored long"
 
@@ -96,3 +96,48 @@ def fit_vector_indexer(
     vectors = df.sparkSession.createDataFrame([(Vectors.dense(t),) for t in table], [vector])
     return VectorIndexer(inputCol=vector, outputCol=output, maxCategories=most,
                          handleInvalid=handle_invalid).fit(vectors.coalesce(1))
+
+
+def categories_of(df: DataFrame, vector: str, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """For wide vectors, from :func:`few_values`: how many categories each dimension has, 0 for
+    one with more than ``most`` values, and their values, in the order of the library's indexer:
+    zero first, if it occurs, then as they rise. Unused places of the second array are NaN."""
+    found = few_values(df, vector, most)
+    zero_first = F.concat(F.filter("categories", lambda x: x == 0),
+                          F.filter("categories", lambda x: x != 0))
+    rows = found.select("position", F.when(F.col("position") < 0, F.col("categories"))
+                        .otherwise(zero_first).alias("values")).toArrow()
+    positions, lists = rows["position"].to_numpy(), rows["values"].combine_chunks()
+    lengths = lists.value_lengths().fill_null(0).to_numpy()
+    values = lists.flatten().to_numpy()
+    starts = np.cumsum(lengths) - lengths
+    about = np.flatnonzero(positions < 0)
+    width = int(values[starts[about[0]]]) if len(about) else 0
+    if not width:
+        raise ValueError("no vectors to index")
+    counts, table = np.ones(width, np.int8), np.full((width, most), np.nan)
+    table[:, 0] = 0  # dimensions in which nothing is stored
+    own = positions >= 0
+    counts[positions[own]], table[positions[own], 0] = lengths[own], np.nan
+    for n in range(most):
+        has = own & (lengths > n)
+        table[positions[has], n] = values[starts[has] + n]
+    return counts, table
+
+
+def indexer_of(
+    spark: SparkSession, categories: dict[int, list[float]], width: int, vector: str,
+    output: str, most: int, handle_invalid: str = "keep",
+) -> VectorIndexerModel:
+    """The library's indexer of vectors of ``width`` dimensions for given categories, by its
+    saved form; dimensions without any are left as they are. A fit of one dimension gives the
+    frame, as the library's own keeps a set for each dimension."""
+    frame = VectorIndexer(inputCol=vector, outputCol=output, maxCategories=most,
+                          handleInvalid=handle_invalid)
+    path = new_folder(spark, "indexer")
+    frame.fit(spark.createDataFrame([(Vectors.dense([0.0]),)], [vector])).write().save(path)
+    maps = {d: {float(v): n for n, v in enumerate(own)} for d, own in categories.items()}
+    table = spark.createDataFrame(
+        [(width, maps)], "numFeatures int, categoryMaps map<int, map<double, int>>")
+    table.write.mode("overwrite").parquet(f"{path}/data")
+    return VectorIndexerModel.load(path)

@@ -23,6 +23,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.sql import DataFrame
 
+from .. import limits
 from ..fixed_values import (
     MAX_CATEGORIES,
     REMOVED_CHARACTERS,
@@ -36,9 +37,7 @@ from ..operators.selection import best_features, chi_squared
 from ..operators.vector_categories import fit_vector_indexer
 from ..sources.scratch import write_once
 from .fit_size import bound_partitions, merge_partitions, tree_depth
-
-# Hashed terms that a forest looks at, those that tell most about the label.
-FOREST_TERMS = 4096
+from .wide_forest import fit_wide_forest
 
 # Bytes per feature in one partial result: a count, and the moments of a feature summary.
 COUNT_BYTES = 8
@@ -105,37 +104,48 @@ def fit_text_forest(
     label: str = "label",
     clean: bool = False,
     num_features: int = TEXT_FEATURES,
-    terms: int = FOREST_TERMS,
+    terms: int | None = None,
     seed: int = TEXT_SEED,
 ) -> PipelineModel:
     """TF-IDF, label and vector indexing, random forest and the label name of a prediction.
 
     Columns added: ``indexedLabel``, ``prediction`` and ``predictedLabel``; ``stages[-2]`` of
-    the result is the forest. Text is hashed as widely as for regression. A forest keeps
-    statistics for every feature, bin and open node, so it is fitted on the ``terms`` hashed
-    terms whose presence has the largest chi-squared statistic with the label; a vector slicer
-    carries the choice to new text. A task holds at most ``limits.TASK_BYTES`` of binned rows.
+    the result is the forest. Text is hashed as widely as for regression, and the forest draws
+    from all hashed terms. If ``terms`` is given it draws only from that many, whose presence has
+    the largest chi-squared statistic with the label; a vector slicer carries the choice to new
+    text. Up to ``limits.FOREST_WIDTH`` terms a task holds at most ``limits.TASK_BYTES`` of binned
+    rows; wider rows stay sparse.
     """
     stages = text_counts_stages(text, clean, num_features)
     counts = _counted(train, stages, label)
     idf = _fit_idf(counts, num_features)
-    slicer = VectorSlicer(inputCol="features", outputCol="keptFeatures",
-                          indices=_telling_terms(counts, label, num_features, terms))
-    vectors = slicer.transform(idf.transform(counts)).drop("rawFeatures", "features")
-    vectors = write_once(vectors, "text-vectors")
+    weighed, used = idf.transform(counts).drop("rawFeatures"), "features"
+    chosen: list[Transformer] = []
+    if terms is not None:
+        used = "keptFeatures"
+        chosen = [VectorSlicer(inputCol="features", outputCol=used,
+                               indices=_telling_terms(counts, label, num_features, terms))]
+        weighed = chosen[0].transform(weighed).drop("features")
+    vectors = write_once(weighed, "text-vectors")
     labels = StringIndexer(inputCol=label, outputCol="indexedLabel", handleInvalid="keep")
     labels = labels.fit(vectors)
-    indexer = fit_vector_indexer(vectors, "keptFeatures", "indexedFeatures", MAX_CATEGORIES)
-    indexed = indexer.transform(labels.transform(bound_partitions(vectors, indexer.numFeatures)))
     forest = RandomForestClassifier(
         labelCol="indexedLabel", featuresCol="indexedFeatures", seed=seed
-    ).fit(indexed)
+    )
+    width = num_features if terms is None else len(chosen[0].getIndices())
+    if width <= limits.FOREST_WIDTH:
+        indexer = fit_vector_indexer(vectors, used, "indexedFeatures", MAX_CATEGORIES)
+        vectors = bound_partitions(vectors, indexer.numFeatures)
+        forest = forest.fit(indexer.transform(labels.transform(vectors)))
+    else:
+        indexer, forest = fit_wide_forest(
+            forest, labels.transform(vectors), used, len(labels.labels) + 1, MAX_CATEGORIES)
     names = IndexToString(
         inputCol="prediction",
         outputCol="predictedLabel",
         labels=[*labels.labels, "__unknown"],
     )
-    return PipelineModel([*stages, idf, slicer, labels, indexer, forest, names])
+    return PipelineModel([*stages, idf, *chosen, labels, indexer, forest, names])
 
 
 def _telling_terms(counts: DataFrame, label: str, width: int, terms: int) -> list[int]:

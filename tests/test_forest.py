@@ -13,6 +13,7 @@ from tallyfit import limits
 from tallyfit.operators import best_features, chi_squared, few_values, fit_vector_indexer
 from tallyfit.plans import fit_text_forest, forest_nodes, walk_forest
 from tallyfit.plans.fit_size import BIN_BYTES, POINT_BYTES, bound_partitions
+from tallyfit.plans.wide_forest import fit_wide_forest
 
 
 def test_chi_squared_equals_the_full_table(spark):
@@ -148,3 +149,77 @@ def test_forest_tasks_hold_few_rows(spark, monkeypatch):
     assert seen[0] == [400] and sum(seen[1]) == 400 and len(seen[1]) == 8 and max(seen[1]) <= 51
     for model in (whole, dealt):
         assert model.transform(train).where("prediction <> indexedLabel").count() == 0
+
+
+def test_forest_draws_from_all_terms(spark):
+    pick = random.Random(6)
+    rows = [(" ".join(f"w{pick.randrange(9000)}" for _ in range(60)), float(n % 3 == 0))
+            for n in range(300)]
+    train = spark.createDataFrame(rows + [(None, 1.0), ("", 0.0)], "text string, label double")
+    model = fit_text_forest(train)
+    assert model.stages[-2].numFeatures == 1 << 18 and model.stages[-2].getNumTrees == 20
+    terms = {r.feature for r in forest_nodes(spark, model.stages[-2]).collect()} - {None}
+    assert len(terms) > 100 and max(terms) > 1 << 17
+    other = spark.createDataFrame([(n, t) for n, t in enumerate(
+        ["new words", "w1 w1 w1 w1 w1 w2", "", None])], "id long, text string")
+    texts = train.select("text").rdd.zipWithIndex().map(lambda r: (r[1] + 9, r[0].text))
+    other = other.union(spark.createDataFrame(texts, "id long, text string"))
+    scored = model.transform(other)
+    walked = walk_forest(forest_nodes(spark, model.stages[-2]), scored, "id", "indexedFeatures")
+    found = {r.id: r.prediction for r in walked.collect()}
+    assert found == {r.id: r.prediction for r in scored.select("id", "prediction").collect()}
+    assert len(found) == 306
+
+
+def wide_rows(spark, rows, copies=1):
+    pick = random.Random(7)
+    table = []
+    for n in range(rows):
+        dense = [pick.choice([0, 0, 2]), pick.choice([0, 1, 3, 7]), pick.randrange(20) / 4,
+                 pick.choice([-1, 1]), pick.randrange(-3, 9), 0.0, pick.choice([0, 0, 0, 5.5])]
+        told = dense[2] + (dense[1] in (0, 3)) * 3 + dense[4] / 4 + pick.random()
+        place = {i: float(v) for i, v in enumerate(dense) if v}
+        table.append((float(told > 3) + (told > 5.5),
+                      Vectors.dense(dense) if n % 2 else Vectors.sparse(7, place)))
+    return spark.createDataFrame(table * copies, ["label", "features"])
+
+
+def test_wide_forest_equals_the_library(spark):
+    rows = wide_rows(spark, 700)
+    tree = RandomForestClassifier(featuresCol="indexed", numTrees=1, maxDepth=4, seed=3,
+                                  bootstrap=False, featureSubsetStrategy="all")
+    plain = fit_vector_indexer(rows, "features", "indexed", 4)
+    plain = tree.fit(plain.transform(rows))
+    indexer, wide = fit_wide_forest(tree, rows, "features", 3, 4)
+    assert wide.numFeatures == 7 and wide.numClasses == 3
+
+    def nodes(model):
+        return [(r.node, r.feature, r.left, r.right, r.rows, list(r.counts), r.prediction,
+                 r.gain and round(r.gain, 12))
+                for r in forest_nodes(spark, model).orderBy("node").collect()]
+
+    assert nodes(wide) == nodes(plain) and len(nodes(wide)) > 20
+    splits = forest_nodes(spark, wide).collect()
+    assert any(r.categories for r in splits) and any(r.threshold is not None for r in splits)
+    other = spark.createDataFrame(  # a category that the fit has not seen goes right
+        [(n, Vectors.dense([9.0, v, 1.5, 9.0, 2.0, 0.0, 9.0])) for n, v in enumerate([1.0, 9.0])],
+        ["id", "features"])
+    scored = wide.transform(indexer.transform(other))
+    walked = walk_forest(forest_nodes(spark, wide), scored, "id", "indexed").collect()
+    assert {r.id: r.prediction for r in walked} == {r.id: r.prediction for r in scored.collect()}
+
+
+def test_wide_forests_do_not_depend_on_the_layout(spark):
+    rows = wide_rows(spark, 200, copies=5)
+    forest = RandomForestClassifier(featuresCol="indexed", numTrees=6, seed=4)
+    found = []
+    for part in (rows.coalesce(1), rows.orderBy(F.rand(1)).repartition(7)):
+        indexer, model = fit_wide_forest(forest, part, "features", 3, 4)
+        found.append([t.toDebugString.split("\n", 1)[1] for t in model.trees])
+        right = model.transform(indexer.transform(part)).where("label = prediction").count()
+        assert right > 700
+    assert found[0] == found[1] and len(set(found[0])) == 6
+    roots = [r.rows for r in forest_nodes(spark, model).where("node = 0").collect()]
+    assert all(850 < n < 1150 for n in roots) and len(set(roots)) > 1
+    with pytest.raises(ValueError, match="no vectors"):
+        fit_wide_forest(forest, rows.limit(0), "features", 3, 4)
