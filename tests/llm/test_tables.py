@@ -149,6 +149,45 @@ def test_mix(spark):
     assert mixed_rows(other).where("row <> 'row' OR turn <> 'turn'").count() == 0
 
 
+def test_closest_fill():
+    from tallyfit.llm.source_mixing import closest_fill
+
+    assert closest_fill(10.0, {11: 1, 4: 1, 3: 1}) == {11: 1}
+    assert closest_fill(100.5, {60: 1, 30: 5, 7: 2}) == {60: 1, 30: 1, 7: 1}
+    assert closest_fill(100.0, {40: 9}) == {40: 3 - 1}
+    assert closest_fill(0.4, {1: 3}) == {} and closest_fill(0.6, {1: 3}) == {1: 1}
+    pick = np.random.default_rng(6)
+    for _ in range(300):
+        gap = float(pick.integers(1, 500)) + 0.25
+        sizes, numbers = np.unique(pick.integers(1, 2 * int(gap) + 1, 12), return_counts=True)
+        counts = dict(zip(sizes.tolist(), numbers.tolist()))
+        fill = closest_fill(gap, counts)
+        assert all(1 <= n <= counts[s] for s, n in fill.items())
+        off = abs(gap - sum(s * n for s, n in fill.items()))
+        assert off <= min([gap] + [abs(gap - s) for s in counts])  # no document, or one
+        left = [s for s in counts if counts[s] > fill.get(s, 0)]
+        assert not left or off <= max(left) / 2
+
+
+def test_mix_fills_what_a_long_document_leaves(spark):
+    random = np.random.default_rng(9)
+    words = (random.pareto(0.8, 1200) * 5 + 1).clip(max=4000).astype(int).tolist()
+    rows = [(i, f"s{i % 6}" if i % 6 else None, "w " * n) for i, n in enumerate(words)]
+    rows += rows[:60] + rows[:60]  # these are drawn three at a time
+    table = mix_sources(spark.createDataFrame(
+        rows, "doc_id long, source string, text string").repartition(3)).toPandas()
+    assert len(table) == 1320
+    table["turns"], table["source"] = table["draws"].map(len), table["source"].fillna("~")
+    for _, own in table.groupby("source"):
+        units = own.groupby("doc_id").agg(size=("size", "sum"), turns=("turns", "first"))
+        left = units[units["turns"] == units["turns"].min()]["size"]
+        off = (own["turns"] * own["size"]).sum() - own["target"].iloc[0]
+        assert units["turns"].max() - units["turns"].min() <= 1
+        assert abs(off) <= left.min() / 2
+        shards = own[own["turns"] > 0]["draws"].map(lambda d: [x["shard"] for x in d])
+        assert all(0 <= s < 16 for own_shards in shards for s in own_shards)
+
+
 def test_leaks(spark):
     words = [f"Word{n}" for n in range(60)]
     passage = " ".join(words[:30])
