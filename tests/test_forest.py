@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyfit import limits
 from tallyfit.operators import best_features, chi_squared, few_values, fit_vector_indexer
-from tallyfit.plans import fit_text_forest, forest_nodes, walk_forest
+from tallyfit.plans import fit_text_forest, forest_nodes, forest_summary, walk_forest
 from tallyfit.plans.fit_size import BIN_BYTES, POINT_BYTES, bound_partitions
 from tallyfit.plans.wide_forest import fit_wide_forest
 
@@ -160,6 +160,9 @@ def test_forest_draws_from_all_terms(spark):
     assert model.stages[-2].numFeatures == 1 << 18 and model.stages[-2].getNumTrees == 20
     terms = {r.feature for r in forest_nodes(spark, model.stages[-2]).collect()} - {None}
     assert len(terms) > 100 and max(terms) > 1 << 17
+    summary = forest_summary(spark, model.stages[-2]).collect()
+    assert [r.tree for r in summary] == list(range(20))
+    assert all("numFeatures=262144" in r.description for r in summary)
     other = spark.createDataFrame([(n, t) for n, t in enumerate(
         ["new words", "w1 w1 w1 w1 w1 w2", "", None])], "id long, text string")
     texts = train.select("text").rdd.zipWithIndex().map(lambda r: (r[1] + 9, r[0].text))
