@@ -114,10 +114,9 @@ class _Level:
     """What a task needs to walk rows to the open nodes of all trees, which are numbered as
     slots, and to tell the features that these have drawn."""
 
-    column: np.ndarray  # of each feature among those that the trees split by, or -1
-    columns: int
+    width: int
+    features: np.ndarray  # those that the trees split by
     trees: list[dict[str, np.ndarray]]
-    drawn: np.ndarray  # for each tree, whether any of its open nodes has drawn a feature
     keys: list[np.ndarray]  # for each tree, slot * width + feature of all that was drawn
     slots: int
     classes: int
@@ -140,10 +139,15 @@ def _walked(tree: dict[str, np.ndarray], table: np.ndarray, depth: int) -> np.nd
 def _found(level: _Level, depth: int):
     """Per task the class weights that its rows add to each slot, feature and value other than
     zero, and to each slot as a whole (feature -1)."""
-    width = len(level.column)
+    width = level.width
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((level.slots, level.classes), np.int64)
+        column = np.full(width, -1, np.int32)  # of each feature that is split by
+        column[level.features] = np.arange(len(level.features))
+        drawn = np.zeros((len(level.trees), width), bool)  # by any open node of each tree
+        for t, keys in enumerate(level.keys):
+            drawn[t, keys % width] = True
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(start, ROWS_AT_ONCE)
@@ -156,9 +160,9 @@ def _found(level: _Level, depth: int):
                 weights = batch.column("weights").flatten().to_numpy().reshape(len(y), -1)
                 stored = value != 0
                 row, place, value = row[stored], place[stored], value[stored]
-                table = np.zeros((len(y), level.columns))
-                split = np.flatnonzero(level.column[place] >= 0)
-                table[row[split], level.column[place[split]]] = value[split]
+                table = np.zeros((len(y), len(level.features)))
+                split = np.flatnonzero(column[place] >= 0)
+                table[row[split], column[place[split]]] = value[split]
                 out = []
                 for t, tree in enumerate(level.trees):
                     if not len(level.keys[t]):
@@ -167,7 +171,7 @@ def _found(level: _Level, depth: int):
                     slot = np.where(weights[:, t] > 0, slot, -1)
                     here = slot >= 0
                     np.add.at(totals, (slot[here], y[here]), weights[here, t])
-                    some = np.flatnonzero(level.drawn[t][place])
+                    some = np.flatnonzero(drawn[t][place])
                     some = some[slot[row[some]] >= 0]
                     key = slot[row[some]] * width + place[some]
                     at = np.searchsorted(level.keys[t], key)
@@ -268,14 +272,14 @@ def _level(
     trees: list[list[_Node]], slots: list[tuple[int, int]], drawn: list[np.ndarray],
     width: int, classes: int
 ) -> _Level:
-    features = sorted({n.feature for tree in trees for n in tree if n.feature >= 0})
-    column = np.full(width, -1, np.int32)
-    column[features] = np.arange(len(features))
+    features = np.array(
+        sorted({n.feature for tree in trees for n in tree if n.feature >= 0}), np.int64)
+    column = {f: n for n, f in enumerate(features.tolist())}
     number = {at: n for n, at in enumerate(slots)}
-    tables, masks, keys = [], np.zeros((len(trees), width), bool), []
+    tables, keys = [], []
     for t, tree in enumerate(trees):
         tables.append({
-            "column": np.array([column[n.feature] if n.feature >= 0 else -1 for n in tree]),
+            "column": np.array([column.get(n.feature, -1) for n in tree]),
             "threshold": np.array([n.threshold for n in tree]),
             "mask": np.array([-1 if n.categories is None else sum(1 << c for c in n.categories)
                               for n in tree], np.int64),
@@ -283,10 +287,8 @@ def _level(
             "slot": np.array([number.get((t, i), -1) for i in range(len(tree))]),
         })
         own = [n for n, at in enumerate(slots) if at[0] == t]
-        for n in own:
-            masks[t, drawn[n]] = True
         keys.append(np.concatenate([n * width + drawn[n] for n in own] or [np.zeros(0, np.int64)]))
-    return _Level(column, len(features), tables, masks, keys, len(slots), classes)
+    return _Level(width, features, tables, keys, len(slots), classes)
 
 
 def _merged(tree: list[_Node], at: int = 0) -> list[_Node]:
